@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumbung.llm import tokens
+from lumbung.llm import stuffing, tokens
 from lumbung.session import ship, table
 
 
@@ -12,6 +12,10 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stuffing.stuffed(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id").distinct()
+
+
 def prepared(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -21,5 +25,5 @@ def prepared(query):
     return run
 
 
-QUERIES = {q.__name__: prepared(q) for q in (p7_ids,)}
+QUERIES = {q.__name__: prepared(q) for q in (p7_ids, p9_found)}
 ORACLE: dict[str, str] = {}
