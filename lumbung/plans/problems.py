@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.operators import orphans as orphan
+from lumbung.operators import packed
 from lumbung.session import ship, table
 
 FACT_REFERENCES = (
@@ -14,6 +15,15 @@ FACT_REFERENCES = (
 )
 
 
+MEMBER_COLUMNS = ("Anggota Dosen", "Anggota Mahasiswa")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = table(spark, sf_dir, "bronze_penelitian").select("baris_id", *[f"`{c}`" for c in MEMBER_COLUMNS])
+    long = bronze.unpivot("baris_id", [f"`{c}`" for c in MEMBER_COLUMNS], "kolom", "teks")
+    return packed.split(long, "teks").select("baris_id", "kolom", "posisi", "nama", "nomor").distinct()
+
+
 def fact_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = table(spark, sf_dir, "fact_sitasi").select("sitasi_id", "dosen_id", "jurnal_id", "tahun", "triwulan", "dimuat_pada")
     parts = [orphan.orphans(facts, table(spark, sf_dir, dim), ref) for ref, dim in FACT_REFERENCES]
@@ -40,7 +50,7 @@ _P6_ROWS = """
     FROM fact_sitasi f LEFT JOIN dim_jurnal j ON j.jurnal_id = f.jurnal_id WHERE f.jurnal_id IS NOT NULL
 """
 
-QUERIES = {"p6_found": p6_found, "p6_report": p6_report}
+QUERIES = {"p3_found": p3_found, "p6_found": p6_found, "p6_report": p6_report}
 
 ORACLE = {
     "p6_found": f"SELECT DISTINCT sitasi_id, kolom, sebab FROM ({_P6_ROWS}) WHERE sebab IS NOT NULL",
