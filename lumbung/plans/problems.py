@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lumbung.operators import orphans as orphan
 from lumbung.operators import packed
+from lumbung.operators import profile as prof
 from lumbung.session import ship, table
 
 FACT_REFERENCES = (
@@ -24,6 +25,96 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.split(long, "teks").select("baris_id", "kolom", "posisi", "nama", "nomor").distinct()
 
 
+TITLE = prof.Format(bad=r"[^A9 .,:()/'-]|  |^ | $|^(?!(?:.* )?A(?: .*)? A(?: .*)? A(?: .*)? A(?: .*)?$)", exact=None)
+DOI = prof.Format(bad=r"[¿␣ <>\"]|^(?!A://A\.A/99\.9{4,9}/)", exact=r"^https://doi\.example/10\.[0-9]{4,9}/[!-~&&[^<>\"]]+$")
+NULL_GAP, MEAN_GAP = 0.21, 0.26
+PROFILED = {"silver_penelitian": ("muat_id", "judul_proposal"), "silver_sitasi": ("muat_id", "doi")}
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = []
+    for (name, (load, column)), fmt in zip(PROFILED.items(), (TITLE, DOI)):
+        rows = table(spark, sf_dir, name).select("id", load, column)
+        bad = prof.malformed(rows, column, fmt)
+        parts.append(bad.select(F.lit(name).alias("tabel"), F.lit(column).alias("kolom"), F.lit("nilai").alias("jenis"), F.col("id").alias("kunci")))
+        figures = prof.load_figures(rows, load, {column: F.length(column)}, {column: F.col(column).isNotNull()})
+        parts.append(_loads(figures, name))
+    rows = table(spark, sf_dir, "dq_report")
+    bad = rows.where(prof.inconsistent(F.col("score"), F.col("total_records"), F.col("failed_records"), 0.015))
+    key = F.concat_ws("/", *[F.coalesce(F.col(c), F.lit("")) for c in ("run_id", "table_name", "column_name", "metric")])
+    parts.append(bad.select(F.lit("dq_report").alias("tabel"), F.lit("score").alias("kolom"), F.lit("nilai").alias("jenis"), key.alias("kunci")))
+    usable = {"score": F.col("score").between(0, 100)}
+    parts.append(_loads(prof.load_figures(rows, "run_id", {"score": F.col("score")}, usable), "dq_report"))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found.distinct()
+
+
+def _loads(figures: DataFrame, name: str) -> DataFrame:
+    far = prof.differing_loads(figures, NULL_GAP, MEAN_GAP)
+    return far.select(F.lit(name).alias("tabel"), "kolom", F.lit("muat").alias("jenis"), F.col("muat").alias("kunci"))
+
+
+LOADS = {"silver_penelitian": "muat_id", "silver_sitasi": "muat_id", "dq_report": "run_id"}
+MASKED = {"silver_penelitian": ["judul_proposal", "ketua_peneliti", "skema", "sdgs", "prodi"], "silver_sitasi": ["doi", "ketua_peneliti", "jurnal_halaman"]}
+
+
+def p5_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [prof.profile(table(spark, sf_dir, t), load).withColumn("tabel", F.lit(t)) for t, load in LOADS.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _masks(spark: SparkSession, sf_dir: str, what) -> DataFrame:
+    parts = [
+        what(prof.masks(table(spark, sf_dir, t), LOADS[t], columns)).withColumn("tabel", F.lit(t)) for t, columns in MASKED.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def p5_rare_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _masks(spark, sf_dir, prof.rare_masks)
+
+
+def p5_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _masks(spark, sf_dir, prof.divergence)
+
+
+def _malformed_sql(name: str, column: str, good: str) -> str:
+    return f"""SELECT '{name}' AS tabel, '{column}' AS kolom, 'nilai' AS jenis, id AS kunci FROM {name}
+        WHERE {column} IS NOT NULL AND NOT ({good})"""
+
+
+def _loads_sql(name: str, load: str, column: str, figure: str) -> str:
+    return f"""SELECT '{name}' AS tabel, '{column}' AS kolom, 'muat' AS jenis, muat AS kunci FROM (
+        SELECT muat, s, r, median(s) OVER () AS ms, median(r) OVER () AS mr FROM (
+            SELECT CAST({load} AS VARCHAR) AS muat, count(*) FILTER (WHERE {column} IS NULL) / count(*) AS s, avg({figure}) AS r
+            FROM {name} GROUP BY {load})) WHERE abs(s - ms) > 0.21 OR abs(r - mr) > 0.26 * mr"""
+
+
+_WANTED = "CASE WHEN total_records = 0 THEN 100.0 ELSE 100.0 * (total_records - failed_records) / total_records END"
+P5_SQL = " UNION ".join(
+    [
+        _malformed_sql(
+            "silver_penelitian",
+            "judul_proposal",
+            """regexp_full_match(judul_proposal, '[A-Za-z0-9 .,:()/''-]*') AND judul_proposal NOT LIKE ' %'
+            AND judul_proposal NOT LIKE '% ' AND judul_proposal NOT LIKE '%  %'
+            AND len(list_filter(string_split(judul_proposal, ' '), lambda w: regexp_full_match(w, '[A-Za-z]+'))) >= 4""",
+        ),
+        _malformed_sql(
+            "silver_sitasi", "doi", r"""regexp_full_match(doi, 'https://doi\.example/10\.[0-9]{4,9}/[!#-;=?-~]+')"""
+        ),
+        f"""SELECT 'dq_report' AS tabel, 'score' AS kolom, 'nilai' AS jenis,
+            coalesce(run_id, '') || '/' || coalesce(table_name, '') || '/' || coalesce(column_name, '') || '/' || coalesce(metric, '') AS kunci
+            FROM dq_report WHERE score IS NOT NULL AND (isnan(score) OR abs(score - ({_WANTED})) > 0.015)""",
+        _loads_sql("silver_penelitian", "muat_id", "judul_proposal", "length(judul_proposal)"),
+        _loads_sql("silver_sitasi", "muat_id", "doi", "length(doi)"),
+        _loads_sql("dq_report", "run_id", "score", "CASE WHEN score BETWEEN 0 AND 100 THEN score END"),
+    ]
+)
+
+
 def fact_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = table(spark, sf_dir, "fact_sitasi").select("sitasi_id", "dosen_id", "jurnal_id", "tahun", "triwulan", "dimuat_pada")
     parts = [orphan.orphans(facts, table(spark, sf_dir, dim), ref) for ref, dim in FACT_REFERENCES]
@@ -50,9 +141,40 @@ _P6_ROWS = """
     FROM fact_sitasi f LEFT JOIN dim_jurnal j ON j.jurnal_id = f.jurnal_id WHERE f.jurnal_id IS NOT NULL
 """
 
-QUERIES = {"p3_found": p3_found, "p6_found": p6_found, "p6_report": p6_report}
+QUERIES = {
+    "p3_found": p3_found,
+    "p5_found": p5_found,
+    "p5_profile": p5_profile,
+    "p5_rare_masks": p5_rare_masks,
+    "p5_divergence": p5_divergence,
+    "p6_found": p6_found,
+    "p6_report": p6_report,
+}
+
+def _mask_sql(name: str, columns: list[str]) -> str:
+    steps = "{c}"
+    for pattern, to in (
+        ("[^\\x20-\\x7E\\s]", "chr(1)"), ("[\\t\\n\\x0B\\f\\r]", "chr(2)"), ("[A-Za-z]+", "'A'"), ("[0-9]", "'9'"), ("9{{10,}}", "'9999999999'"),
+    ):
+        steps = f"regexp_replace({steps}, '{pattern}', {to}, 'g')"
+    steps = f"translate({steps}, chr(1) || chr(2), '¿␣')"
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS kolom, CAST({LOADS[name]} AS VARCHAR) AS muat, {steps.format(c=c)} AS topeng FROM {name} WHERE {c} IS NOT NULL"
+        for c in columns
+    )
+
+
+P5_RARE_SQL = " UNION ALL ".join(
+    f"""SELECT '{t}' AS tabel, kolom, topeng, n AS baris, n / semua AS bagian FROM (
+        SELECT kolom, topeng, n, CAST(sum(n) OVER (PARTITION BY kolom) AS BIGINT) AS semua FROM (
+            SELECT kolom, topeng, count(*) AS n FROM ({_mask_sql(t, columns)}) GROUP BY kolom, topeng))
+        WHERE n / semua < 0.001"""
+    for t, columns in MASKED.items()
+)
 
 ORACLE = {
+    "p5_found": P5_SQL,
+    "p5_rare_masks": P5_RARE_SQL,
     "p6_found": f"SELECT DISTINCT sitasi_id, kolom, sebab FROM ({_P6_ROWS}) WHERE sebab IS NOT NULL",
     "p6_report": f"""SELECT 'fact_sitasi' AS tabel, kolom, tahun, triwulan, sebab, count(*) AS baris
         FROM ({_P6_ROWS}) WHERE sebab IS NOT NULL GROUP BY kolom, tahun, triwulan, sebab""",
