@@ -2,12 +2,47 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lumbung.llm import stuffing, tokens
+from lumbung.llm import stuffing, tokens, variants
 from lumbung.session import ship, table
 
 
+NICKNAMES = 10_000
+
+
+def nicknames(spark: SparkSession, sf_dir: str) -> dict[str, frozenset[str]]:
+    """The bounded list of nicknames (some hundreds) as nickname -> official words."""
+    rows = table(spark, sf_dir, "panggilan").distinct().limit(NICKNAMES + 1).collect()
+    if len(rows) > NICKNAMES:
+        raise ValueError(f"more than {NICKNAMES} nicknames; they are not broadcast")
+    out = defaultdict(set)
+    for r in rows:
+        if r.nama_resmi and r.nama_panggilan:
+            out[r.nama_panggilan.lower()].add(r.nama_resmi.lower())
+    return {k: frozenset(v) for k, v in out.items()}
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lecturers = table(spark, sf_dir, "dim_dosen").select("dosen_id", "nama", "nip")
+    has_number = F.col("nip").isNotNull() & (F.col("nip") != "0")
+    main = lecturers.where(has_number).select("dosen_id", "nama")
+    cited = table(spark, sf_dir, "silver_sitasi").select(
+        F.lit("sitasi").alias("sumber"), "id", F.lit(0).alias("posisi"), F.col("ketua_peneliti").alias("ditulis")
+    )
+    members = table(spark, sf_dir, "silver_penelitian").select("id", F.posexplode("nama_anggota_dosen").alias("k", "ditulis"))
+    members = members.select(F.lit("penelitian").alias("sumber"), "id", (F.col("k") + 1).alias("posisi"), "ditulis")
+    others = lecturers.where(~has_number).select(
+        F.lit("dim_dosen").alias("sumber"), F.col("dosen_id").cast("string").alias("id"), F.lit(0).alias("posisi"), F.col("nama").alias("ditulis")
+    )
+    mentions = cited.unionByName(members).unionByName(others)
+    found = variants.mentions_linked(mentions, "ditulis", main, "dosen_id", "nama", nicknames(spark, sf_dir))
+    return found.select("sumber", "id", "posisi", "dosen_id").distinct()
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -25,5 +60,5 @@ def prepared(query):
     return run
 
 
-QUERIES = {q.__name__: prepared(q) for q in (p7_ids, p9_found)}
+QUERIES = {q.__name__: prepared(q) for q in (p1_found, p7_ids, p9_found)}
 ORACLE: dict[str, str] = {}
