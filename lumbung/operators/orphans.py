@@ -5,8 +5,8 @@ whole-stage codegen. A key the filter rejects is *proved* absent, so that row ne
 meet the parent table in an exact join, which also supplies the life span of the parent record.
 
 Skew: the parent side of the exact join is broadcast only when its counted keys stay below ``BROADCAST_KEYS``. Beyond
-that, the keys that hold more than ``HOT_SHARE`` of the positive rows are counted first; the hot keys (at most
-1/HOT_SHARE of them, so their parents are a bounded broadcast) are joined apart from the others, which shuffle.
+that, the keys that hold more than a hundredth of the positive rows are counted first; these hot keys (at most a hundred, so their parents
+are a bounded broadcast) are joined apart from the others, which shuffle.
 """
 
 from __future__ import annotations
@@ -16,10 +16,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumbung.operators.skew import hot_keys, lookup
+
 BROADCAST_KEYS = 500_000
 MAX_FILTER_BITS = 64 * 1024 * 1024 * 8
 FALSE_POSITIVES = 0.01
-HOT_SHARE = 0.01
 
 MISSING, LATE, REMOVED = "hilang", "terlambat", "dihapus"
 
@@ -76,17 +77,7 @@ def resolve(rows: DataFrame, keys: DataFrame, n: int) -> DataFrame:
     """Left join of ``rows`` with the parents on ``__key``, whatever the skew of the keys."""
     if n <= BROADCAST_KEYS:
         return rows.join(F.broadcast(keys), "__key", "left")
-    counted = rows.groupBy("__key").count()
-    total = counted.agg(F.sum("count")).first()[0] or 0
-    hot = [r[0] for r in counted.where(F.col("count") > max(1.0, total * HOT_SHARE)).select("__key").collect()]
-    if not hot:
-        return rows.join(keys, "__key", "left")
-    is_hot = F.col("__key").isin(hot)
-    return (
-        rows.where(is_hot)
-        .join(F.broadcast(keys.where(is_hot)), "__key", "left")
-        .unionByName(rows.where(~is_hot).join(keys.where(~is_hot), "__key", "left"))
-    )
+    return lookup(rows, keys, "__key", hot_keys(rows.groupBy("__key").count(), "__key"), "left")
 
 
 def orphans(child: DataFrame, parent: DataFrame, ref: Reference, loaded: str = "dimuat_pada") -> DataFrame:
