@@ -7,10 +7,121 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm import stuffing, tokens, variants
+from lumbung.llm import canonical, stuffing, tokens, variants
 from lumbung.session import ship, table
 
 
+# Other names of the entries of the reference lists, as entry: names.
+SCHEMES = {
+    "Hibah Rintisan Dosen Muda (HRDM)": ("Rintisan Dosen Junior", "Starter Grant for Young Lecturers"),
+    "Hibah Unggulan Fakultas (HUF)": ("Unggulan Tingkat Fakultas", "Faculty Flagship Grant"),
+    "Riset Terapan Mitra Desa (RTMD)": ("Penelitian Terapan Mitra Desa", "Applied Research with Villages"),
+    "Riset Kolaborasi Antar Kampus (RKAK)": ("Penelitian Kolaboratif Antarkampus", "Inter-campus Collaboration"),
+    "Riset Dasar Mandiri": ("Penelitian Dasar Swadana", "Independent Basic Research"),
+    "Penugasan Rektor": ("Tugas dari Rektor", "Penugasan Pimpinan (Rektor)", "Rector Assignment"),
+    "Pendampingan Usaha Kecil (PUK)": ("Pendampingan UMKM", "Small Business Mentoring"),
+    "Karya Buku Ajar": ("Penulisan Buku Ajar", "Textbook Writing"),
+    "Karya Buku Monograf": ("Penulisan Monograf", "Monograph Writing"),
+    "Magang Riset Mahasiswa (MRM)": ("Magang Penelitian Mahasiswa", "Student Research Internship"),
+    "Riset Inovasi Purwarupa (RIP)": ("Inovasi Prototipe", "Prototype Innovation Research"),
+    "Dana Padanan Industri (DPI)": ("Matching Fund Industri", "Industry Matching Fund"),
+    "Riset Pascasarjana (RPS)": ("Penelitian Program Pascasarjana", "Graduate School Research"),
+    "Ekspedisi Lapangan Bersama": ("Ekspedisi Lapangan Gabungan", "Joint Field Expedition"),
+    "Bina Wilayah Terluar (BWT)": ("Pembinaan Daerah Terluar", "Outer Region Support"),
+    "Bina Wilayah Terluar Tahap Lanjut": ("Pembinaan Daerah Terluar Lanjutan", "BWT Lanjutan", "Outer Region Support Phase II"),
+    "Riset Cepat Tanggap Bencana": ("Penelitian Tanggap Darurat Bencana", "Rapid Disaster Response Research"),
+    "Pertukaran Pakar Tamu": ("Pertukaran Ahli Tamu", "Visiting Expert Exchange"),
+}
+THEMES = {
+    "Tema 1 Dapur Cukup Gizi": ("Gizi Dapur Cukup", "Enough food in every kitchen"),
+    "Tema 2 Air Layak Kampung": ("Air Minum Layak untuk Kampung", "Safe water for hamlets"),
+    "Tema 3 Energi Mikro Mandiri": ("Energi Skala Mikro", "Self-reliant micro energy"),
+    "Tema 4 Sekolah Tanpa Sekat": ("Sekolah Inklusif Tanpa Sekat", "Barrier-free schools"),
+    "Tema 5 Kerja Laik Muda Mudi": ("Pekerjaan Layak Pemuda", "Fair jobs for the young"),
+    "Tema 6 Kota Pesisir Tangguh": ("Ketangguhan Kota Pantai", "Resilient coastal towns"),
+    "Tema 7 Laut Terjaga Bersama": ("Penjagaan Laut Bersama", "Shared care of the sea"),
+    "Tema 8 Hutan dan Tanah Pulih": ("Pemulihan Hutan serta Tanah", "Recovering forests and soils"),
+    "Tema 9 Sampah Jadi Bahan": ("Limbah Menjadi Bahan Baku", "Waste into feedstock"),
+    "Tema 10 Iklim dan Cuaca Desa": ("Perubahan Iklim Tingkat Desa", "Village climate and weather"),
+    "Tema 11 Sehat Sejak Dini": ("Kesehatan Sejak Usia Dini", "Healthy from early on"),
+    "Tema 12 Perempuan Pengambil Peran": ("Peran Serta Perempuan", "Women taking part"),
+    "Tema 13 Tata Kelola Jujur": ("Pemerintahan Jujur", "Honest governance"),
+    "Tema 14 Inovasi Alat Tepat Guna": ("Inovasi Alat TTG", "Appropriate tool innovation"),
+    "Tema 15 Budaya Bahari Hidup": ("Kebudayaan Maritim yang Hidup", "Living maritime culture"),
+    "Tema 16 Jejaring Mitra Dunia": ("Jejaring Kemitraan Global", "Global partner network"),
+}
+PROGRAMMES = {
+    "OSEANOGRAFI PESISIR": ("Ilmu Kelautan Pesisir", "Coastal Oceanography"),
+    "STATISTIKA TERAPAN": ("Statistik Terapan", "Applied Statistics"),
+    "MAGISTER STATISTIKA TERAPAN": ("Master of Applied Statistics", "Magister Statistik Terapan", "Mag. Stat. Terapan"),
+    "ASTRONOMI OBSERVASI": ("Astronomi Pengamatan", "Observational Astronomy"),
+    "ILMU TANAH VULKANIK": ("Ilmu Tanah Gunung Api", "Volcanic Soil Science"),
+    "BIOKIMIA PANGAN": ("Biokimia Makanan", "Food Biochemistry"),
+    "KARTOGRAFI DIGITAL": ("Pemetaan Digital", "Digital Cartography"),
+    "TEKNIK IRIGASI RAWA": ("Teknik Pengairan Rawa", "Tek. Pengairan Rawa", "Swamp Irrigation Engineering"),
+    "TEKNIK IRIGASI LAHAN KERING": ("Teknik Pengairan Lahan Kering", "Tek. Pengairan Lahan Kering", "Dryland Irrigation Engineering"),
+    "TEKNIK KERAMIK": ("Rekayasa Keramik", "Ceramic Engineering"),
+    "TEKNIK AKUSTIK": ("Rekayasa Akustik", "Acoustical Engineering", "Acoustic Engineering"),
+    "TEKNIK TURBIN ANGIN": ("Rekayasa Kincir Angin", "Wind Turbine Engineering"),
+    "REKAYASA BAMBU": ("Teknik Bambu", "Bamboo Engineering"),
+    "REKAYASA PELABUHAN": ("Teknik Pelabuhan", "Harbour Engineering", "Port Engineering"),
+    "REKAYASA PERANGKAT TERTANAM": ("Rekayasa Embedded", "Embedded Systems Engineering"),
+    "SISTEM CERDAS": ("Sistem Kecerdasan Artifisial", "Intelligent Systems"),
+    "LINGUISTIK KOMPUTASI": ("Ilmu Bahasa Komputasional", "Computational Linguistics"),
+    "ARKEOLOGI BAHARI": ("Arkeologi Maritim", "Maritime Archaeology"),
+    "EKONOMI PERDESAAN": ("Ekonomi Desa", "Rural Economics"),
+    "KEBIJAKAN PUBLIK DAERAH": ("Kebijakan Publik Lokal", "Regional Public Policy"),
+    "PSIKOLOGI KOMUNITAS": ("Psikologi Masyarakat", "Community Psychology"),
+    "HUKUM AGRARIA": ("Hukum Pertanahan", "Agrarian Law"),
+    "MUSIK NUSANTARA": ("Seni Musik Nusantara", "Music of the Archipelago"),
+    "SENI KRIYA KAYU": ("Kerajinan Kayu", "Wood Craft"),
+    "GIZI KELUARGA PESISIR": ("Ilmu Gizi Keluarga Pantai", "Coastal Family Nutrition"),
+    "KESEHATAN HEWAN TROPIS": ("Kesehatan Satwa Tropis", "Tropical Animal Health"),
+    "PERIKANAN BUDIDAYA": ("Budi Daya Ikan", "Aquaculture"),
+    "AGROEKOLOGI TROPIKA": ("Ekologi Pertanian Tropis", "Tropical Agroecology"),
+    "KEPERAWATAN KOMUNAL": ("Ilmu Perawatan Komunal", "Communal Nursing"),
+}
+
+
+def _aliases(names: dict[str, tuple[str, ...]]) -> dict[str, str]:
+    return {other: entry for entry, others in names.items() for other in others}
+
+
+RULES = {
+    "skema": canonical.Rules(
+        wrappers=(r"^skema ", r" internal$", r" maks(imal)? (rp )?\d+ (juta|jt)$", r" 20 ?\d\d$", r" \d+$"),
+        initials=True,
+        aliases=_aliases(SCHEMES),
+    ),
+    "sdgs": canonical.Rules(
+        wrappers=(r" (tema )?\d+$", r"^(tema|t) "),
+        numbered=r"(?:tema|t) (\d+)\b|(\d+)\b",
+        number=r"tema (\d+)",
+        aliases=_aliases(THEMES),
+    ),
+    "prodi": canonical.Rules(
+        wrappers=(r"^f(sb|rt|hm|kh) ", r"^(program studi|prodi|jurusan) ", r"^s 1 "),
+        initials=True,
+        rewrites=((r"^s 2 (?!magister)", "magister "),),
+        aliases=_aliases(PROGRAMMES),
+    ),
+}
+REFERENCES = {"skema": ("dim_skema", "skema_id", "nama_skema"), "sdgs": ("dim_sdgs", "sdgs_id", "kode_sdgs"), "prodi": ("dim_prodi", "prodi_id", "nama_prodi")}
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "silver_penelitian").select("id", *RULES)
+    parts = []
+    for column, (name, key, label) in REFERENCES.items():
+        reference = table(spark, sf_dir, name).select(key, label)
+        entered = rows.select("id", F.lit(column).alias("kolom"), F.col(column).alias("nilai"))
+        entered = entered.where(F.trim(F.regexp_replace("nilai", r"\s", " ")) != "").distinct()
+        own = reference.select(F.col(label).alias("nilai")).distinct()
+        free = entered.join(F.broadcast(own), "nilai", "left_anti")  # the reference lists are fixed: at most tens of entries
+        parts.append(canonical.mapped(free, "nilai", reference, key, label, RULES[column]).select("id", "kolom", "ref_id"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
+
+
 NICKNAMES = 10_000
 
 
@@ -60,5 +171,5 @@ def prepared(query):
     return run
 
 
-QUERIES = {q.__name__: prepared(q) for q in (p1_found, p7_ids, p9_found)}
+QUERIES = {q.__name__: prepared(q) for q in (p1_found, p4_found, p7_ids, p9_found)}
 ORACLE: dict[str, str] = {}
