@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumbung.operators import drift
 from lumbung.operators import orphans as orphan
 from lumbung.operators import packed
 from lumbung.operators import profile as prof
@@ -16,6 +17,47 @@ FACT_REFERENCES = (
 )
 
 
+# Other headers of the columns of bronze_penelitian.
+HEADERS = {
+    "Judul Proposal": ("Judul", "Judul Usulan", "Judul Penelitian", "Title"),
+    "Ketua Peneliti": ("Ketua", "Nama Ketua Peneliti", "Nama Ketua", "Ketua Pengusul"),
+    "Skema": ("Nama Skema", "Skema Pendanaan", "Skema Penelitian", "Scheme"),
+    "SDGs": ("Tema SDGs", "SDG", "Tema SDG"),
+    "Program Studi": ("Prodi", "Nama Prodi", "Jurusan", "Homebase", "Study Program", "Prog. Studi", "Asal Prodi Ketua", "Prodi Ketua", "Prodi Pengusul"),
+    "Anggota Dosen": ("Dosen Anggota", "Dosen Terlibat", "Nama Anggota Dosen"),
+    "Anggota Mahasiswa": ("Mahasiswa Terlibat", "Mahasiswa Anggota", "Mahasiswa", "Nama Anggota Mahasiswa"),
+    "Usulan Biaya": (
+        "Biaya Usulan", "Anggaran Diajukan", "Dana Diusulkan", "Proposed Budget", "RAB", "Nilai Usulan", "Usulan Dana", "Dana Usulan",
+        "Biaya Diusulkan", "Biaya Diajukan", "Dana Diajukan", "Anggaran Usulan", "Usulan Anggaran", "Anggaran Diusulkan", "Usulan Biaya Rp",
+    ),
+    "Status": ("Status Usulan",),
+    "Status Proposal": ("Status Laporan",),
+}
+LAYOUT = drift.Layout(
+    columns=(
+        "No", "Judul Proposal", "Ketua Peneliti", "Jenis", "Status", "Skema", "Scope", "SDGs", "Program Studi", "Anggota Dosen",
+        "Anggota Mahasiswa", "Advisor", "Usulan Biaya", "Status Proposal",
+    ),
+    names=HEADERS,
+    branches=("Usulan Biaya", "Program Studi"),
+    amounts=("Usulan Biaya",),
+)
+_RAW = ("berkas_id", "pengirim_id", "periode", "dimuat_pada", "rekaman")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift.changes(table(spark, sf_dir, "raw_penelitian"), *_RAW, LAYOUT).select("berkas_id", "kolom", "perubahan").distinct()
+
+
+def p2_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = table(spark, sf_dir, "raw_penelitian")
+    return drift.consistent(raw, "berkas_id", "rekaman", LAYOUT).withColumn("tahun", F.floor(F.col("periode") / 10).cast("int")).drop("rekaman")
+
+
+def p2_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift.alternatives(table(spark, sf_dir, "raw_penelitian"), "berkas_id", "rekaman", LAYOUT)
+
+
 MEMBER_COLUMNS = ("Anggota Dosen", "Anggota Mahasiswa")
 
 
@@ -142,6 +184,9 @@ _P6_ROWS = """
 """
 
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_table": p2_table,
+    "p2_types": p2_types,
     "p3_found": p3_found,
     "p5_found": p5_found,
     "p5_profile": p5_profile,
