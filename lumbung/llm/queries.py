@@ -7,7 +7,7 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm import canonical, stuffing, tokens, variants
+from lumbung.llm import canonical, packing, stuffing, tokens, variants
 from lumbung.session import ship, table
 
 
@@ -158,6 +158,24 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+CONTAINER = 2_048
+
+
+def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = tokens.measured(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return packing.packed(sizes, "doc_id", "n_token", (CONTAINER,))
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill(p8_packed(spark, sf_dir))
+
+
+def p8_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several permitted sequence lengths, each container downsized to its contents."""
+    sizes = tokens.measured(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return packing.fill(packing.packed(sizes, "doc_id", "n_token", (256, 512, 1_024, CONTAINER)))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stuffing.stuffed(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id").distinct()
 
@@ -171,5 +189,5 @@ def prepared(query):
     return run
 
 
-QUERIES = {q.__name__: prepared(q) for q in (p1_found, p4_found, p7_ids, p9_found)}
+QUERIES = {q.__name__: prepared(q) for q in (p1_found, p4_found, p7_ids, p8_packed, p8_fill, p8_lengths, p9_found)}
 ORACLE: dict[str, str] = {}

@@ -187,6 +187,9 @@ class Encoder:
                 out += self.word(word) if ids is None else ids
         return out
 
+    def length(self, text: str | None) -> int:
+        return len(self.encode(text))
+
 
 def windows(text: str, size: int = WINDOW) -> Iterator[str]:
     """Pieces of about ``size`` characters that end where the split pattern always starts a new word."""
@@ -262,9 +265,19 @@ def encode(documents: DataFrame, text: str = "text", out: str = "ids", path: str
 
 
 def lengths_of(path: str | None):
-    @F.pandas_udf(T.IntegerType())
-    def run(texts):
-        encode_text = encoder(path).encode
-        return texts.map(lambda t: len(encode_text(t)) if isinstance(t, str) else 0)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        length = encoder(path).length
+        for batch in batches:
+            names = [n for n in batch.schema.names if n != "__text"]
+            sizes = pa.array([length(t) for t in batch.column("__text").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], sizes], names=[*names, "__n"])
 
     return run
+
+
+def measured(documents: DataFrame, text: str = "text", out: str = "n_token", path: str | None = None, keep: list[str] | None = None) -> DataFrame:
+    """Like ``encode``, but only the number of tokens of each text; 0 for null and empty ones."""
+    keep = [c for c in (keep if keep is not None else documents.columns) if c not in (text, out)]
+    rows = documents.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("__text"))
+    schema = T.StructType([*[f for f in rows.schema.fields if f.name != "__text"], T.StructField("__n", T.LongType())])
+    return rows.mapInArrow(lengths_of(path), schema).withColumnRenamed("__n", out)
