@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lumbung.plans import problems
+from lumbung.plans import problems, relational
 
-MODULES = [problems]
+MODULES = [problems, relational]
 
 QUERIES = {name: problems.prepared(f) for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
