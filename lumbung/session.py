@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,3 +52,9 @@ def cut(df: DataFrame) -> DataFrame:
         folder = context.getConf().get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lumbung-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder beside the shared checkpoints; a temporary one only where the session names no checkpoint folder."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return f"{folder or 'file://' + tempfile.mkdtemp(prefix='lumbung-')}/{name}-{uuid.uuid4().hex[:12]}"
