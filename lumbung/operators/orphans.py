@@ -86,9 +86,10 @@ def orphans(child: DataFrame, parent: DataFrame, ref: Reference, loaded: str = "
     sebab: 'hilang' (no parent row), else 'terlambat' (parent first known after ``loaded``), else 'dihapus' (removed not
     later than ``loaded``). Null keys are no references; a null time on either side proves neither lateness nor removal.
     An empty parent table makes every reference 'hilang'; repeated child rows stay repeated; extra columns are kept, and
-    names of the parent never clash because only its key and life span travel, under private names.
+    names of the parent never clash because only its key and life span travel, under private names; columns of the child named
+    kolom or sebab are replaced.
     """
-    names = child.columns
+    names = [c for c in child.columns if c not in ("kolom", "sebab")]
     rows = child.where(F.col(ref.column).isNotNull()).withColumn("__key", F.col(ref.column))
     keys = parents(parent, ref)
     n = keys.count()
