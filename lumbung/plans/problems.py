@@ -217,7 +217,27 @@ P5_RARE_SQL = " UNION ALL ".join(
     for t, columns in MASKED.items()
 )
 
+def _p2_sql() -> str:
+    names = {drift.squash(h): c for c in LAYOUT.columns for h in (c, *HEADERS.get(c, ()))}
+    meant = " ".join(f"WHEN '{k}' THEN '{c}'" for k, c in names.items())
+    squashed = r"regexp_replace(regexp_replace(lower(header), '\([^)]*\)', '', 'g'), '[^a-z0-9]', '', 'g')"
+    kinds = """CASE json_type(json_extract(rekaman, '$."' || header || '"')) WHEN 'UBIGINT' THEN 1 WHEN 'BIGINT' THEN 1 WHEN 'HUGEINT' THEN 1 WHEN 'DOUBLE' THEN 2
+        WHEN 'VARCHAR' THEN 3 WHEN 'BOOLEAN' THEN 4 WHEN 'OBJECT' THEN 5 WHEN 'ARRAY' THEN 6 END"""
+    return f"""WITH cells AS (SELECT berkas_id, unnest(json_keys(rekaman)) AS header, rekaman FROM raw_penelitian WHERE json_valid(rekaman)),
+    counted AS (SELECT berkas_id, header, {kinds} AS t, count(*) AS n FROM cells GROUP BY ALL),
+    fields AS (SELECT berkas_id, header, CASE {squashed} {meant} ELSE header END AS kolom, max_by(t, n * 10 - t) FILTER (WHERE t IS NOT NULL) AS tipe FROM counted GROUP BY berkas_id, header),
+    files AS (SELECT pengirim_id, periode, max_by(berkas_id, (d, berkas_id)) AS berkas_id FROM (SELECT berkas_id, pengirim_id, periode, max(dimuat_pada) AS d FROM raw_penelitian GROUP BY ALL) GROUP BY ALL),
+    numbered AS (SELECT *, row_number() OVER w AS seq, lead(berkas_id) OVER w AS berikut FROM files WINDOW w AS (PARTITION BY pengirim_id ORDER BY periode)),
+    kept AS (SELECT f.*, n.pengirim_id, n.seq, n.berikut, last_value(tipe IGNORE NULLS) OVER (PARTITION BY pengirim_id, kolom ORDER BY seq) AS t FROM fields f JOIN numbered n USING (berkas_id)),
+    seen AS (SELECT *, lag(seq) OVER w AS s0, lead(seq) OVER w AS s1, lag(header) OVER w AS h0, lag(t) OVER w AS t0 FROM kept WINDOW w AS (PARTITION BY pengirim_id, kolom ORDER BY seq))
+    SELECT DISTINCT berkas_id, kolom, 'added' AS perubahan FROM seen WHERE seq > 1 AND s0 IS DISTINCT FROM seq - 1
+    UNION ALL SELECT DISTINCT berikut, kolom, 'removed' FROM seen WHERE berikut IS NOT NULL AND s1 IS DISTINCT FROM seq + 1
+    UNION ALL SELECT DISTINCT berkas_id, kolom, 'renamed' FROM seen WHERE s0 = seq - 1 AND header <> h0
+    UNION ALL SELECT DISTINCT berkas_id, kolom, 'retyped' FROM seen WHERE s0 = seq - 1 AND tipe <> t0"""
+
+
 ORACLE = {
+    "p2_found": _p2_sql(),
     "p5_found": P5_SQL,
     "p5_rare_masks": P5_RARE_SQL,
     "p6_found": f"SELECT DISTINCT sitasi_id, kolom, sebab FROM ({_P6_ROWS}) WHERE sebab IS NOT NULL",
