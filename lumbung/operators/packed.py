@@ -345,7 +345,7 @@ def split(rows: DataFrame, text: str, rounds: int = ROUNDS) -> DataFrame:
         )
         counts = cut(plain.unionByName(taught).groupBy("value").agg(F.sum("n").alias("n")))
     decided = known.select("__text", F.pandas_udf(_decoded(model, members), _MEMBERS)("__text", "__known").alias("__members"))
-    done = base.withColumn("__members", _plain_members("__text"))
-    sure = done.where(F.col("__members").isNotNull())
-    rest = done.where(F.col("__members").isNull()).drop("__members").join(decided, "__text")
+    # Nondeterministic to the planner, so that the filter on the result does not compute it again.
+    sure = base.withColumn("__members", _plain_members.asNondeterministic()("__text")).where(F.col("__members").isNotNull())
+    rest = base.join(decided, "__text")
     return sure.unionByName(rest).select(*[F.col(f"`{c}`") for c in keep], F.inline("__members"))
