@@ -8,6 +8,7 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -54,6 +55,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def preview(df: DataFrame, limit: int = 100) -> DataFrame:
+    """The first rows as texts; with a limit of 1 the row upright, as (column, value)."""
+    texts = df.limit(limit).select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    if limit != 1:
+        return texts
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in df.columns]
+    return texts.select(F.inline(F.array(*cells)))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder beside the shared checkpoints; a temporary one only where the session names no checkpoint folder."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
