@@ -6,9 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def filled(c: Column) -> Column:
+    return F.coalesce(c, F.lit(""))
+
+
 def text_key(prefix: str, *columns: Column) -> Column:
-    """Prefix and 64-bit hash; nulls count as empty, so every row has a key."""
-    return F.concat(F.lit(prefix), F.xxhash64(*[F.coalesce(c.cast("string"), F.lit("")) for c in columns]).cast("string"))
+    """Prefix and 64-bit hash of the columns, as text. A hash leaves nulls out, so fill texts that may be null."""
+    return F.concat(F.lit(prefix), F.xxhash64(*columns).cast("string"))
 
 
 def int_key(*columns: Column) -> Column:

@@ -68,11 +68,11 @@ _SWAPPED = """(SELECT p_partkey, CASE WHEN p_partkey % 23 = 0 THEN ' ' ELSE p_na
     CASE WHEN p_partkey % 11 = 0 OR p_partkey % 13 = 0 THEN p_brand ELSE p_type END AS jenis FROM part)"""
 _REPAIRED = f"""(SELECT p_partkey, judul, CASE WHEN p_partkey % 11 = 0 THEN jenis WHEN p_partkey % 13 = 0 THEN jenis ELSE merek END AS merek,
     CASE WHEN p_partkey % 11 = 0 THEN merek WHEN p_partkey % 13 = 0 THEN NULL ELSE jenis END AS jenis FROM {_SWAPPED} WHERE judul IS NOT NULL AND trim(judul) <> '')"""
-_COUNTS = """SELECT count(*) FILTER (WHERE judul IS NULL OR trim(judul) = '') AS null_judul, count(*) FILTER (WHERE aw AND bw) AS both_swapped, count(*) FILTER (WHERE aw AND NOT bw) AS a_only,
-    count(*) FILTER (WHERE bw AND NOT aw) AS b_only, count(*) FILTER (WHERE merek IS NOT NULL AND trim(merek) <> '' AND NOT am AND NOT aj) AS invalid_a,
-    count(*) FILTER (WHERE jenis IS NOT NULL AND trim(jenis) <> '' AND NOT bj AND NOT bm) AS invalid_b, count(*) FILTER (WHERE merek = jenis) AS equal, count(*) AS total FROM (
-    SELECT *, aj AND NOT am AS aw, bm AND NOT bj AS bw FROM (SELECT *, coalesce(merek IN (SELECT p_brand FROM part), false) AS am, coalesce(merek IN (SELECT p_type FROM part), false) AS aj,
-    coalesce(jenis IN (SELECT p_type FROM part), false) AS bj, coalesce(jenis IN (SELECT p_brand FROM part), false) AS bm FROM {}))"""
+_COUNTS = """SELECT count(*) FILTER (WHERE judul IS NULL OR trim(judul) = '') AS null_judul, count(*) FILTER (WHERE aj AND bm AND NOT am AND NOT bj) AS both_swapped,
+    count(*) FILTER (WHERE merek IS NULL AND bm) AS a_only, count(*) FILTER (WHERE jenis IS NULL AND aj) AS b_only, count(*) FILTER (WHERE merek IS NOT NULL AND NOT am AND NOT aj) AS invalid_a,
+    count(*) FILTER (WHERE jenis IS NOT NULL AND NOT bj AND NOT bm) AS invalid_b, count(*) FILTER (WHERE lower(trim(merek)) = lower(trim(jenis))) AS equal, count(*) AS total FROM (
+    SELECT *, coalesce(merek IN (SELECT p_brand FROM part), false) AS am, coalesce(merek IN (SELECT p_type FROM part), false) AS aj,
+    coalesce(jenis IN (SELECT p_type FROM part), false) AS bj, coalesce(jenis IN (SELECT p_brand FROM part), false) AS bm FROM {})"""
 
 
 @query(_COUNTS.format(_SWAPPED))
@@ -101,7 +101,7 @@ def swap_audit_after(spark, sf):
     SELECT ketua_peneliti IS NULL OR trim(ketua_peneliti) = '' AS e, coalesce(ketua_peneliti IN (SELECT nama FROM dim_dosen), false) AS hit FROM silver_sitasi)""")
 def name_match_audit(spark, sf):
     counts = quality.name_counts(table(spark, sf, "silver_sitasi"), "ketua_peneliti", table(spark, sf, "dim_dosen"), "nama")
-    return counts.select("total", "empty", "matched", (F.col("invalid") + F.col("unmatched_valid")).alias("other"))
+    return counts.select("total", "empty", "matched", (F.col("total") - F.col("empty") - F.col("matched")).alias("other"))
 
 
 @query(f"SELECT * FROM {_REPAIRED}")

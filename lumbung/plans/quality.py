@@ -60,36 +60,43 @@ def score(total: Column, failed: Column) -> Column:
     return F.when(total == 0, 100.0).otherwise(F.round((total - failed) / F.nullif(total, F.lit(0)) * 100, 2))
 
 
-def swap_counts(rows: DataFrame, swap: Swap, title: str | None = None) -> DataFrame:
-    """One row: blank titles, pairs swapped both ways or on one side, values of neither list, equal pairs, total."""
+def placed(rows: DataFrame, swap: Swap) -> DataFrame:
+    """``rows`` with flags: a is of a's list (__aa), of b's (__ab); b is of b's list (__bb), of a's (__ba)."""
     r = flagged(rows, swap.a, swap.a_ref, "__aa")
-    r = flagged(r, swap.a, Reference(swap.a, swap.b_ref.table, swap.b_ref.key), "__ab")
+    r = flagged(r, swap.a, swap.b_ref, "__ab")
     r = flagged(r, swap.b, swap.b_ref, "__bb")
-    r = flagged(r, swap.b, Reference(swap.b, swap.a_ref.table, swap.a_ref.key), "__ba")
-    a, b, a_wrong, b_wrong = F.col(swap.a), F.col(swap.b), F.col("__ab") & ~F.col("__aa"), F.col("__ba") & ~F.col("__bb")
+    return flagged(r, swap.b, swap.a_ref, "__ba")
+
+
+def swap_counts(rows: DataFrame, swap: Swap, title: str | None = None) -> DataFrame:
+    """One row: blank titles, pairs swapped both ways, values alone in the wrong column (the other is null), values of neither
+    list, equal pairs, total."""
+    r = placed(rows, swap)
+    a, b = F.col(swap.a), F.col(swap.b)
+    aa, ab, bb, ba = (F.col(c) for c in ("__aa", "__ab", "__bb", "__ba"))
     return r.agg(
         (F.count_if(blank(F.col(title))) if title else F.lit(0).cast("bigint")).alias("null_judul"),
-        F.count_if(a_wrong & b_wrong).alias("both_swapped"),
-        F.count_if(a_wrong & ~b_wrong).alias("a_only"),
-        F.count_if(b_wrong & ~a_wrong).alias("b_only"),
-        F.count_if(~blank(a) & ~F.col("__aa") & ~F.col("__ab")).alias("invalid_a"),
-        F.count_if(~blank(b) & ~F.col("__bb") & ~F.col("__ba")).alias("invalid_b"),
-        F.count_if(a == b).alias("equal"),
+        F.count_if(ab & ba & ~aa & ~bb).alias("both_swapped"),
+        F.count_if(a.isNull() & ba).alias("a_only"),
+        F.count_if(b.isNull() & ab).alias("b_only"),
+        F.count_if(a.isNotNull() & ~aa & ~ab).alias("invalid_a"),
+        F.count_if(b.isNotNull() & ~bb & ~ba).alias("invalid_b"),
+        F.count_if(joins.normalized(a) == joins.normalized(b)).alias("equal"),
         F.count("*").alias("total"),
     )
 
 
 def name_counts(rows: DataFrame, column: str, known: DataFrame, name: str) -> DataFrame:
-    """One row: total, empty, invalid, unmatched_valid, matched names against exact known names."""
+    """One row: total, empty, invalid (whether known or not), unmatched_valid, matched names against exact known names."""
     r = rows.join(known.select(F.col(name).alias(column), F.lit(True).alias("__hit")).distinct(), column, "left")
     r = r.withColumns({"__empty": blank(F.col(column)), "__bad": names.invalid_person(F.col(column))})
     hit, empty, bad = F.coalesce("__hit", F.lit(False)), F.col("__empty"), F.col("__bad")
     return r.agg(
         F.count("*").alias("total"),
         F.count_if(empty).alias("empty"),
-        F.count_if(~empty & ~hit & bad).alias("invalid"),
+        F.count_if(~empty & bad).alias("invalid"),
         F.count_if(~empty & ~hit & ~bad).alias("unmatched_valid"),
-        F.count_if(~empty & hit).alias("matched"),
+        F.count_if(hit).alias("matched"),
     )
 
 
@@ -134,7 +141,7 @@ def report(rows: DataFrame, name: str, rules: Rules) -> DataFrame:
     if rules.swap is not None:
         kinds = ("both_swapped", "a_only", "b_only", "equal")
         counts = swap_counts(rows, rules.swap)
-        pair = f"{rules.swap.a}/{rules.swap.b}"
+        pair = f"{rules.swap.a},{rules.swap.b}"
         parts.append(
             counts.select(
                 F.inline(

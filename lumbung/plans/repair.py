@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumbung.functions import names
+from lumbung.functions.keys import int_key
 from lumbung.plans import quality
 from lumbung.sources.store import MAIN, Store
 
@@ -27,18 +28,15 @@ def purge_blank(rows: DataFrame, column: str) -> DataFrame:
 def unswap(rows: DataFrame, swap: quality.Swap) -> DataFrame:
     """Values that belong to the other column change places.
 
-    Both wrong: exchanged. One wrong: it moves to the other column if that one is blank, else it stays. Rows are kept; a
-    second run changes nothing.
+    Both wrong: exchanged. One column null and the other holding its value: it moves. All else stays. Rows are kept; a second
+    run changes nothing.
     """
-    r = quality.flagged(rows, swap.a, swap.a_ref, "__aa")
-    r = quality.flagged(r, swap.a, quality.Reference(swap.a, swap.b_ref.table, swap.b_ref.key), "__ab")
-    r = quality.flagged(r, swap.b, swap.b_ref, "__bb")
-    r = quality.flagged(r, swap.b, quality.Reference(swap.b, swap.a_ref.table, swap.a_ref.key), "__ba")
+    r = quality.placed(rows, swap)
     a, b = F.col(swap.a), F.col(swap.b)
-    a_wrong, b_wrong = F.col("__ab") & ~F.col("__aa"), F.col("__ba") & ~F.col("__bb")
-    both, a_moves, b_moves = a_wrong & b_wrong, a_wrong & quality.blank(b), b_wrong & quality.blank(a)
-    new_a = F.when(both | b_moves, b).when(a_moves, None).otherwise(a)
-    new_b = F.when(both | a_moves, a).when(b_moves, None).otherwise(b)
+    aa, ab, bb, ba = (F.col(c) for c in ("__aa", "__ab", "__bb", "__ba"))
+    both, to_a, to_b = ab & ba & ~aa & ~bb, a.isNull() & ba, b.isNull() & ab
+    new_a = F.when(both | to_a, b).when(to_b, None).otherwise(a)
+    new_b = F.when(both | to_b, a).when(to_a, None).otherwise(b)
     return r.withColumns({swap.a: new_a, swap.b: new_b}).select(*rows.columns)
 
 
@@ -52,15 +50,25 @@ def zero(count: str) -> Gate:
     return Gate(f"{count} = 0", lambda before, after: after[count] == 0)
 
 
-def not_more(count: str, strict: bool = False) -> Gate:
-    return Gate(f"{count} {'fewer' if strict else 'not more'}", lambda b, a: a[count] < b[count] if strict else a[count] <= b[count])
+def none_of(name: str, *counts: str) -> Gate:
+    return Gate(f"{name} = 0", lambda before, after: sum(after[c] for c in counts) == 0)
+
+
+def not_more(name: str, *counts: str) -> Gate:
+    return Gate(f"{name} not more", lambda before, after: sum(after[c] for c in counts) <= sum(before[c] for c in counts))
 
 
 def conserved(total: str = "total", purged: str | None = None) -> Gate:
     return Gate("rows kept", lambda b, a: a[total] == b[total] - (b[purged] if purged else 0))
 
 
-SWAP_GATES = (zero("null_judul"), zero("both_swapped"), not_more("invalid_a"), not_more("invalid_b"), conserved(purged="null_judul"))
+SWAP_GATES = (
+    none_of("broken", "null_judul", "both_swapped", "a_only", "b_only"),
+    zero("null_judul"),
+    zero("equal"),
+    not_more("invalid", "invalid_a", "invalid_b"),
+    conserved(purged="null_judul"),
+)
 PURGE_GATES = (zero("null_judul"), conserved(purged="null_judul"))
 
 
@@ -83,11 +91,13 @@ def audit_and_publish(store: Store, name: str, fix: Callable[[DataFrame], DataFr
     return before, after
 
 
-def map_names(store: Store, mentions: str, column: str, people: str, name: str, branch: str = AUDIT, strict: bool = False, literal: bool = False) -> tuple[Counts, Counts]:
+def map_names(
+    store: Store, mentions: str, column: str, people: str, name: str, key: str | None = None, branch: str = AUDIT, strict: bool = False, literal: bool = False
+) -> tuple[Counts, Counts]:
     """Mentions get the canonical name of their root, persons not known yet are added, and both tables are published in one
     checked step.
 
-    ``strict`` asks for fewer unmatched names than before; ``literal`` looks for new persons among the names before mapping.
+    ``key``: the column of the persons' 32-bit key, made from the name; other columns of new persons are null. ``strict`` asks for fewer unmatched names than before; ``literal`` looks for new persons among the names before mapping.
     """
     m, p = store.table(mentions), store.table(people)
     for t in (m, p):
@@ -95,20 +105,20 @@ def map_names(store: Store, mentions: str, column: str, people: str, name: str,
         t.create_branch(branch)
     known = p.read(MAIN)
     before = counts_of(quality.name_counts(m.read(MAIN), column, known, name))
-    people_before = known.count()
     m.overwrite(names.canonicalised(m.read(branch), column, names.longest_by_root(known, name)), branch=branch)
     seen = m.read(MAIN if literal else branch).select(F.col(column).alias(name)).distinct()
     fresh = seen.where(~names.invalid_person(F.col(name))).join(known.select(name), name, "left_anti")
-    nothing = [F.lit(None).cast(t).alias(c) for c, t in known.dtypes if c != name]
-    p.append(fresh.select(name, *nothing).select(*known.columns), branch=branch)
-    people_after = p.read(branch)
-    after = counts_of(quality.name_counts(m.read(branch), column, people_after, name))
+    made = {key: int_key(F.col(name), F.lit(""))} if key else {}
+    rest = [made.get(c, F.lit(None)).cast(t).alias(c) for c, t in known.dtypes if c != name]
+    p.append(fresh.select(name, *rest).select(*known.columns), branch=branch)
+    after = counts_of(quality.name_counts(m.read(branch), column, p.read(branch), name))
+    fewer = after["unmatched_valid"] < before["unmatched_valid"] if strict else after["unmatched_valid"] <= before["unmatched_valid"]
     checks = {
-        "rows kept": after["total"] == before["total"],
-        "no person lost": people_after.count() >= people_before,
+        "no unmatched name": after["unmatched_valid"] == 0,
+        "unmatched names fewer" if strict else "unmatched names not more": fewer,
+        "invalid names kept": after["invalid"] == before["invalid"],
         "empty names kept": after["empty"] == before["empty"],
-        "matched names not fewer": after["matched"] >= before["matched"],
-        "unmatched names": after["unmatched_valid"] < before["unmatched_valid"] if strict else after["unmatched_valid"] <= before["unmatched_valid"],
+        "rows kept": after["total"] == before["total"],
     }
     if not all(checks.values()):
         raise Blocked(f"{mentions}: {[k for k, ok in checks.items() if not ok]}; before {before}, after {after}")

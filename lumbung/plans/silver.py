@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumbung.functions import keys, text
+from lumbung.functions import keys, names, text
 
 # Header -> (name, whole number?) of the kinds of sheets.
 GRANT = {
@@ -40,16 +40,15 @@ LAYOUTS = {"penelitian": GRANT, "pengabdian": GRANT, "buku_keilmuan": GRANT, "si
 
 
 def renamed(bronze: DataFrame, layout: dict[str, tuple[str, bool]]) -> DataFrame:
-    """Known headers renamed and typed, null stand-ins of texts nulled; unknown columns pass, missing ones are skipped."""
+    """Known headers renamed and typed, their null stand-ins nulled; unknown columns pass unchanged, missing ones are skipped."""
     out = []
     for c, kind in bronze.dtypes:
         if c in DROPPED:
             continue
         value = F.col(f"`{c}`")
         name, whole = layout.get(c, (c, False))
-        if kind == "string":
-            value = text.null_sentinel(value)
-            value = text.lenient_bigint(value) if whole else value
+        if kind == "string" and c in layout:
+            value = text.lenient_bigint(value) if whole else text.null_sentinel(value)
         elif whole:
             value = value.cast("bigint")
         out.append(value.alias(name))
@@ -87,18 +86,21 @@ def grants(bronze: DataFrame, prefix: str = "PN", kind: str = "penelitian") -> D
             "nama_anggota_dosen": text.people_names(F.col("anggota_dosen")),
             "fakultas": text.faculty_by_code(F.col("prodi")),
             "prodi": text.programme(F.col("prodi")),
-            "advisor": text.person(F.col("advisor")),
-            "judul_proposal": text.normalize_space(F.col("judul_proposal")),
+            "advisor": F.get(text.people_names(F.col("advisor")), F.lit(0)),
             "skema": text.scheme(text.strip_punctuation(F.col("skema"))),
             "sdgs": text.scheme(text.strip_punctuation(F.col("sdgs"))),
         }
     ).drop("anggota_dosen", "anggota_mahasiswa")
     rows = empty_to_null(rows)
-    return rows.withColumn("id", keys.text_key(prefix, F.col("judul_proposal"), F.col("ketua_peneliti"), F.col("tahun")))
+    return rows.withColumn("id", keys.text_key(prefix, keys.filled(F.col("judul_proposal")), keys.filled(F.col("ketua_peneliti")), F.col("tahun")))
+
 
+def citations(bronze: DataFrame, prefix: str = "ST", mapping: DataFrame | None = None) -> DataFrame:
+    """Citations: date parts, DOI, category and publication split; blanks of other texts stay. Key ``id``.
 
-def citations(bronze: DataFrame, prefix: str = "ST") -> DataFrame:
-    """Citations: date parts, DOI, category and publication split; blanks of other texts stay. Key ``id``."""
+    The faculty is that of the programme, null for unknown ones. ``mapping`` (dari, menjadi) replaces known spellings of names
+    before the key is made.
+    """
     rows = renamed(bronze, LAYOUTS["sitasi"]).drop("tahun", "triwulan")
     rows = rows.withColumns(
         {
@@ -106,10 +108,9 @@ def citations(bronze: DataFrame, prefix: str = "ST") -> DataFrame:
             "__class": text.journal_class(F.col("kategori")),
             "__source": text.publication(F.col("publikasi")),
             "doi": text.doi(F.col("doi")),
-            "ketua_peneliti": text.person(F.col("ketua_peneliti")),
-            "fakultas": F.coalesce(text.faculty_by_programme(F.lower("prodi")), F.upper("fakultas")),
-            "prodi": F.upper("prodi"),
-            "judul_proposal": text.normalize_space(F.col("judul_proposal")),
+            "ketua_peneliti": F.get(text.people_names(F.col("ketua_peneliti")), F.lit(0)),
+            "fakultas": text.faculty_by_programme(F.lower("prodi")),
+            "prodi": text.programme(F.col("prodi")),
         }
     )
     split = {
@@ -119,4 +120,6 @@ def citations(bronze: DataFrame, prefix: str = "ST") -> DataFrame:
         "jurnal_halaman": "__source.halaman", "jurnal_tahun": "__source.tahun",
     }
     rows = rows.withColumns({n: F.col(c) for n, c in split.items()}).drop("__date", "__class", "__source", "tanggal_terbit", "kategori", "publikasi")
-    return rows.withColumn("id", keys.text_key(prefix, F.col("judul_proposal"), F.col("ketua_peneliti"), F.col("doi")))
+    if mapping is not None:
+        rows = names.mapped_names(rows, "ketua_peneliti", mapping)
+    return rows.withColumn("id", keys.text_key(prefix, *[keys.filled(F.col(c)) for c in ("judul_proposal", "ketua_peneliti", "doi")]))

@@ -74,9 +74,10 @@ def test_name_mapping_and_block(spark, store):
     cited = spark.createDataFrame([("BUDI SANTOSO",), ("Dr. Ani",), ("Eko Putra",), ("Ani, Budi",), (None,)], "ketua_peneliti string")
     store.table("gold.dim_dosen").create_or_replace(people)
     store.table("silver.sitasi").create_or_replace(cited)
-    before, after = repair.map_names(store, "silver.sitasi", "ketua_peneliti", "gold.dim_dosen", "nama")
+    before, after = repair.map_names(store, "silver.sitasi", "ketua_peneliti", "gold.dim_dosen", "nama", "dosen_id")
     assert (before["matched"], after["matched"], after["invalid"], after["empty"]) == (0, 3, 1, 1)
     assert {r.nama for r in store.table("gold.dim_dosen").read().collect()} == {"Budi Santoso, M.T.", "Ani.", "Eko Putra"}
+    assert store.table("gold.dim_dosen").read().where("dosen_id is null").count() == 0
     repair.map_names(store, "silver.sitasi", "ketua_peneliti", "gold.dim_dosen", "nama")
     with pytest.raises(repair.Blocked):
         repair.map_names(store, "silver.sitasi", "ketua_peneliti", "gold.dim_dosen", "nama", strict=True)
