@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,3 +69,30 @@ def test_canonical_names(spark):
 def test_keys(spark):
     r = spark.range(50).select(keys.int_key(F.col("id")).alias("i"), F.xxhash64("id").alias("h"), keys.text_key("PN", F.col("id")).alias("t")).collect()
     assert all(x.i == (x.h + 2**31) % 2**32 - 2**31 for x in r) and len({x.t for x in r}) == 50
+
+
+def brute_people(value):
+    """(names, ids) of a packed list, from the description: brackets reach to their first closing one; a bracket with only
+    digits or nothing ends a name."""
+    if value is None or value.strip().lower() in text.SENTINELS:
+        return None, None
+    ids, parts, start = [], [], 0
+    for m in re.finditer(r"\(([^)]*)\)", value):
+        if re.fullmatch(r"\s*[0-9]*\s*", m[1]):
+            ids.append(m[1].strip() or "0")
+            parts.append(value[start : m.start()])
+            start = m.end()
+    found = []
+    for part in parts if ids else [value]:
+        bare = re.sub(r"^[^a-zA-Z0-9]+|[^a-zA-Z0-9]+$", "", part)
+        if bare:
+            found.append(" ".join(w[:1].upper() + w[1:].lower() for w in bare.split()) + ".")
+    return found or None, ids or None
+
+
+def test_people_of_the_sheet(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/bronze_penelitian.parquet")
+    for c in ("Ketua Peneliti", "Anggota Dosen", "Anggota Mahasiswa"):
+        got = rows.select(F.col(f"`{c}`").alias("v"), text.people_names(F.col(f"`{c}`")).alias("n"), text.people_ids(F.col(f"`{c}`")).alias("i")).collect()
+        wrong = [(r.v, r.n, r.i, brute_people(r.v)) for r in got if (r.n, r.i) != brute_people(r.v)]
+        assert not wrong, wrong[:3]
