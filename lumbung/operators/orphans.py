@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from lumbung.operators.skew import hot_keys, lookup
 
 BROADCAST_KEYS = 500_000
-MAX_FILTER_BITS = 64 * 1024 * 1024 * 8
-FALSE_POSITIVES = 0.01
+MAX_FILTER_BITS = 64 * 1024 * 1024  # 8 MB, also the planner's own bound
+BITS_PER_KEY = 9.6  # one false positive in a hundred
 
 MISSING, LATE, REMOVED = "hilang", "terlambat", "dihapus"
 
@@ -53,22 +53,20 @@ def parents(parent: DataFrame, ref: Reference) -> DataFrame:
 def bloom(keys: DataFrame, n: int) -> Column | None:
     """A predicate on ``__key`` that is false only for keys which are surely absent; None without a JVM session.
 
-    The filter's size is bounded by MAX_FILTER_BITS: with more keys it lets more rows through to the exact join, so
-    results never depend on it.
+    The filter is a scalar subquery, aggregated by the executors and sent to them once; its size is bounded by MAX_FILTER_BITS: with more
+    keys it lets more rows through to the exact join, so results never depend on it.
     """
     try:
-        jvm, classic = keys.sparkSession._jvm, keys.select(F.xxhash64("__key").alias("h"))._jdf
-        bits = min(MAX_FILTER_BITS, max(1024, int(n * 9.6) + 1))
-        out = jvm.java.io.ByteArrayOutputStream()
-        classic.stat().bloomFilter("h", max(n, 1), bits).writeTo(out)
-        util = jvm.org.apache.spark.sql.classic.ExpressionUtils
-        test = jvm.org.apache.spark.sql.catalyst.expressions.BloomFilterMightContain(
-            util.expression(F.lit(bytearray(out.toByteArray()))._jc),
-            util.expression(F.xxhash64("__key")._jc),
-        )
-        from pyspark.sql.classic.column import Column as ClassicColumn
-
-        return ClassicColumn(util.column(test))
+        from pyspark.sql.classic.column import Column as Classic
+
+        jvm = keys.sparkSession._jvm
+        util, catalyst = jvm.org.apache.spark.sql.classic.ExpressionUtils, jvm.org.apache.spark.sql.catalyst.expressions
+        expression = lambda c: util.expression(c._jc)
+        bits = min(MAX_FILTER_BITS, max(1024, int(n * BITS_PER_KEY)))
+        sizes = [expression(F.lit(x).cast("bigint")) for x in (max(n, 1), bits)]
+        built = catalyst.aggregate.BloomFilterAggregate(expression(F.xxhash64("__key")), *sizes).toAggregateExpression()
+        one = keys.agg(Classic(util.column(built)).alias("filter")).scalar()
+        return Classic(util.column(catalyst.BloomFilterMightContain(expression(one), expression(F.xxhash64("__key")))))
     except (AttributeError, ImportError, TypeError):
         return None
 
