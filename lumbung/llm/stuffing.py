@@ -43,7 +43,7 @@ FUNCTION_WORDS = frozenset(
     saat kami kita mereka ia dia saya anda bila jika kalau apabila maka sehingga antara bahwa hingga sampai secara kepada
     bagi tanpa selama setelah sesudah sebelum sejak setiap semua seluruh banyak beberapa suatu sebuah seorang saja pun lalu
     kemudian sangat cukup terlalu menurut mengenai tentang terhadap atas bawah apakah bagaimana mengapa siapa mana menjadi
-    merupakan ialah yakni yaitu masing selain dua tersebut demikian adapun maupun meskipun walaupun
+    merupakan ialah yakni yaitu masing selain melalui bersama menggunakan berbasis guna pula ada mulai lain dua tersebut demikian adapun maupun meskipun walaupun
     the of and to in a an is for that with on as by it this be are was were been we i you he she they from at or not which
     who have has had do does did their our its his her more most than then but if so when while where what why how can could
     will would should may might must there here into over under about after before between during each every all some any
@@ -190,7 +190,8 @@ def spam_share(text: str | None) -> float:
         size = min(WINDOW, len(at))
         ok = ~function[at]
         content = at[ok]
-        low = _around(~ok, size) < LOW_FUNCTION
+        # A text shorter than a window must have none at all: one function word in twenty terms may be prose.
+        low = _around(~ok, size) <= (LOW_FUNCTION if size == WINDOW else 0.0)
         lists[at] = low & (_around(latin[at], size) > 0.5)
         if len(content) >= MIN_TERMS:  # word salad: content terms drawn again and again from a few
             again = _around(_near(ids[content], MAX_GAP, MIN_REPEATS), WINDOW) >= SALAD
