@@ -54,34 +54,43 @@ def _spaces(text: str) -> str:
     return _SPACE.sub(" ", text).strip()
 
 
+def _quoted(text: str, at: int) -> tuple[str, int]:
+    """Contents of the quoted span that begins at ``at``, and the place behind it; doubled or escaped quotes are one."""
+    end, part = at + 1, []
+    while end < len(text):
+        if text[end] == "\\" and end + 1 < len(text):
+            part.append(text[end + 1])
+            end += 2
+        elif text[end] == '"':
+            if text[end + 1 : end + 2] != '"':
+                break
+            part.append('"')
+            end += 2
+        else:
+            part.append(text[end])
+            end += 1
+    return "".join(part), end + 1
+
+
 def _pieces(text: str) -> Iterator[tuple[str, bool]]:
     """Texts between strong delimiters, and whether they are a quoted span."""
     start = at = 0
-    n = len(text)
-    while at < n:
-        if text[at] == '"' and not text[start:at].strip(" \t,;[|"):
-            end, part = at + 1, []
-            while end < n:
-                if text[end] == "\\" and end + 1 < n:
-                    part.append(text[end + 1])
-                    end += 2
-                elif text[end] == '"':
-                    if text[end + 1 : end + 2] != '"':
-                        break
-                    part.append('"')
-                    end += 2
-                else:
-                    part.append(text[end])
-                    end += 1
-            yield "".join(part), True
-            start = at = end + 1
-        elif hard := _HARD.match(text, at):
-            yield text[start:at], False
-            start = at = max(hard.end(), at)
-            if hard.end() == hard.start():
-                at += 1
+    hard, quote = _HARD.search(text), text.find('"')
+    while hard or quote >= 0:
+        if quote >= 0 and (hard is None or quote <= hard.start()):
+            if text[start:quote].strip(" \t,;[|"):  # a quote inside a value
+                at = quote + 1
+            else:
+                span, at = _quoted(text, quote)
+                yield span, True
+                start = at
         else:
-            at += 1
+            yield text[start : hard.start()], False
+            start, at = hard.end(), max(hard.end(), hard.start() + 1)
+        if hard and hard.start() < at:
+            hard = _HARD.search(text, at)
+        if 0 <= quote < at:
+            quote = text.find('"', at)
     yield text[start:], False
 
 
@@ -264,15 +273,21 @@ _STRINGS = T.ArrayType(T.StringType())
 _MEMBERS = T.ArrayType(T.StructType([T.StructField("posisi", T.IntegerType()), T.StructField("nama", T.StringType()), T.StructField("nomor", T.StringType())]))
 
 
-@F.pandas_udf(_STRINGS)
-def _plain_values(texts: pd.Series) -> pd.Series:
-    """Values of fields without open commas; None marks a field with open ones."""
+_PLAIN = T.StructType([T.StructField("__open", T.BooleanType()), T.StructField("__plain", _MEMBERS), T.StructField("__values", _STRINGS)])
 
-    def one(text):
-        atoms = scan(text)
-        return None if is_open(atoms) else learned(atoms, [[i] for i in range(len(atoms))])
 
-    return texts.map(one)
+@F.pandas_udf(_PLAIN)
+def _scanned(texts: pd.Series) -> pd.DataFrame:
+    """Members and values of fields without open commas; a field with open ones only says so."""
+    out = []
+    for text in texts:
+        atoms = scan(text)
+        if is_open(atoms):
+            out.append((True, None, None))
+        else:
+            paths = [[i] for i in range(len(atoms))]
+            out.append((False, members(atoms, paths), learned(atoms, paths)))
+    return pd.DataFrame(out, columns=["__open", "__plain", "__values"])
 
 
 @F.pandas_udf(_STRINGS)
@@ -280,15 +295,6 @@ def _lattice_values(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: values(scan(t)))
 
 
-@F.pandas_udf(_MEMBERS)
-def _plain_members(texts: pd.Series) -> pd.Series:
-    def one(text):
-        atoms = scan(text)
-        return None if is_open(atoms) else members(atoms, [[i] for i in range(len(atoms))])
-
-    return texts.map(one)
-
-
 def _decoded(model: Model, what):
     def run(texts: pd.Series, found: pd.Series) -> pd.Series:
         def one(text, known):
@@ -310,11 +316,9 @@ def split(rows: DataFrame, text: str, rounds: int = ROUNDS) -> DataFrame:
     """
     keep = [c for c in rows.columns if c not in ("posisi", "nama", "nomor", text)]
     base = rows.where(F.col(f"`{text}`").isNotNull()).select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
-    texts = base.groupBy("__text").agg(F.count("*").alias("__times")).withColumn("__plain", _plain_values("__text"))
-    texts = cut(texts)
-    plain = texts.where(F.col("__plain").isNotNull()).select(F.explode("__plain").alias("value"), F.col("__times").cast("double").alias("n"))
-    plain = plain.groupBy("value").agg(F.sum("n").alias("n"))
-    unclear = texts.where(F.col("__plain").isNull()).select("__text", "__times")
+    scanned = cut(base.withColumn("__s", _scanned("__text")).select(*base.columns, "__s.*"))  # the fields are scanned once
+    plain = scanned.where("NOT __open").select(F.explode("__values").alias("value")).groupBy("value").agg(F.count("*").cast("double").alias("n"))
+    unclear = scanned.where("__open").groupBy("__text").agg(F.count("*").alias("__times"))
     edges = unclear.select("__text", "__times", F.explode(_lattice_values("__text")).alias("value"))
     counts = plain
     for k in range(rounds + 1):
@@ -345,7 +349,6 @@ def split(rows: DataFrame, text: str, rounds: int = ROUNDS) -> DataFrame:
         )
         counts = cut(plain.unionByName(taught).groupBy("value").agg(F.sum("n").alias("n")))
     decided = known.select("__text", F.pandas_udf(_decoded(model, members), _MEMBERS)("__text", "__known").alias("__members"))
-    # Nondeterministic to the planner, so that the filter on the result does not compute it again.
-    sure = base.withColumn("__members", _plain_members.asNondeterministic()("__text")).where(F.col("__members").isNotNull())
-    rest = base.join(decided, "__text")
-    return sure.unionByName(rest).select(*[F.col(f"`{c}`") for c in keep], F.inline("__members"))
+    kept = [F.col(f"`{c}`") for c in keep]
+    sure = scanned.where("NOT __open").select(*kept, F.inline("__plain"))
+    return sure.unionByName(scanned.where("__open").join(decided, "__text").select(*kept, F.inline("__members")))
