@@ -217,14 +217,19 @@ P5_RARE_SQL = " UNION ALL ".join(
     for t, columns in MASKED.items()
 )
 
-def _p2_sql() -> str:
+def _p2_sql(types: bool = False) -> str:
     names = {drift.squash(h): c for c in LAYOUT.columns for h in (c, *HEADERS.get(c, ()))}
     meant = " ".join(f"WHEN '{k}' THEN '{c}'" for k, c in names.items())
     squashed = r"regexp_replace(regexp_replace(lower(header), '\([^)]*\)', '', 'g'), '[^a-z0-9]', '', 'g')"
     kinds = """CASE json_type(json_extract(rekaman, '$."' || header || '"')) WHEN 'UBIGINT' THEN 1 WHEN 'BIGINT' THEN 1 WHEN 'HUGEINT' THEN 1 WHEN 'DOUBLE' THEN 2
         WHEN 'VARCHAR' THEN 3 WHEN 'BOOLEAN' THEN 4 WHEN 'OBJECT' THEN 5 WHEN 'ARRAY' THEN 6 END"""
-    return f"""WITH cells AS (SELECT berkas_id, unnest(json_keys(rekaman)) AS header, rekaman FROM raw_penelitian WHERE json_valid(rekaman)),
-    counted AS (SELECT berkas_id, header, {kinds} AS t, count(*) AS n FROM cells GROUP BY ALL),
+    cells = f"""WITH cells AS (SELECT berkas_id, unnest(json_keys(rekaman)) AS header, rekaman FROM raw_penelitian WHERE json_valid(rekaman)),
+    counted AS (SELECT berkas_id, header, {kinds} AS t, count(*) AS n FROM cells GROUP BY ALL)"""
+    if types:
+        return cells + f""" SELECT CASE {squashed} {meant} ELSE header END AS kolom, ['bulat', 'desimal', 'string', 'boolean', 'objek', 'larik'][t] AS tipe,
+            CAST(sum(n) AS BIGINT) AS nilai, count(DISTINCT berkas_id) AS berkas, count(DISTINCT header) AS header, min(berkas_id) AS berkas_pertama
+            FROM counted WHERE t IS NOT NULL GROUP BY 1, 2"""
+    return f"""{cells},
     fields AS (SELECT berkas_id, header, CASE {squashed} {meant} ELSE header END AS kolom, max_by(t, n * 10 - t) FILTER (WHERE t IS NOT NULL) AS tipe FROM counted GROUP BY berkas_id, header),
     files AS (SELECT pengirim_id, periode, max_by(berkas_id, (d, berkas_id)) AS berkas_id FROM (SELECT berkas_id, pengirim_id, periode, max(dimuat_pada) AS d FROM raw_penelitian GROUP BY ALL) GROUP BY ALL),
     numbered AS (SELECT *, row_number() OVER w AS seq, lead(berkas_id) OVER w AS berikut FROM files WINDOW w AS (PARTITION BY pengirim_id ORDER BY periode)),
@@ -238,6 +243,7 @@ def _p2_sql() -> str:
 
 ORACLE = {
     "p2_found": _p2_sql(),
+    "p2_types": _p2_sql(types=True),
     "p5_found": P5_SQL,
     "p5_rare_masks": P5_RARE_SQL,
     "p6_found": f"SELECT DISTINCT sitasi_id, kolom, sebab FROM ({_P6_ROWS}) WHERE sebab IS NOT NULL",
