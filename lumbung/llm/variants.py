@@ -7,8 +7,8 @@ damaged. Pairs whose cosine passes the threshold are checked word by word (typos
 and dropped words). Groups grow by average linkage: every entity is a cluster with its undisputed variants, clusters never
 merge, and a disputed variant joins the cluster whose members are on average most similar to it.
 
-Index terms that more than ``HOT_TERM`` entities share are left out at first; the names that then found no entity meet them
-in a second pass. Only the trigram weights (at most 28**3 entries) and the nicknames (a bounded list) are
+Index terms that more than ``HOT_TERM`` entities share are split into pieces of about that many entities, and every name
+meets all pieces; no term is left out. Only the trigram weights (at most 28**3 entries) and the nicknames (a bounded list) are
 broadcast.
 """
 
@@ -324,10 +324,22 @@ def _exploded(names: DataFrame, core: str, terms) -> DataFrame:
     return names.withColumn("__t", F.explode(terms(core))).withColumn("__term", F.xxhash64("__t")).drop("__t")
 
 
+def _split(queries: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``__piece``: the entities of a term that more than ``HOT_TERM`` share lie in several pieces, and a
+    name meets each of them."""
+    hot = cut(
+        index.groupBy("__term").count().where(F.col("count") > HOT_TERM).select("__term", F.ceil(F.col("count") / HOT_TERM).cast("int").alias("__pieces"))
+    )
+    pieces = F.coalesce("__pieces", F.lit(1))
+    queries = queries.join(hot, "__term", "left").withColumn("__piece", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("__pieces")
+    index = index.join(hot, "__term", "left").withColumn("__piece", F.pmod(F.xxhash64("__entity"), pieces).cast("int")).drop("__pieces")
+    return queries, index
+
+
 def _scored(queries: DataFrame, index: DataFrame, cost) -> DataFrame:
-    # The hint keeps the exploded index, whose size the planner underestimates, from being broadcast; a term is never hot here.
+    # The hint keeps the exploded index, whose size the planner underestimates, from being broadcast; a piece of a term is never hot.
     # An own number of partitions: the pairs are small in bytes but not in work, so AQE must not join their partitions.
-    pairs = queries.join(index.hint("shuffle_hash"), "__term").select("__core", "__entity", "__entity_core")
+    pairs = queries.join(index.hint("shuffle_hash"), ["__term", "__piece"]).select("__core", "__entity", "__entity_core")
     pairs = pairs.repartition(_parts(queries), "__core").distinct()
     return pairs.withColumn("__cost", cost("__core", "__entity_core")).where(F.col("__cost").isNotNull())
 
@@ -363,14 +375,8 @@ def link(names: DataFrame, name: str, entities: DataFrame, entity: str, entity_n
     weights = spark.sparkContext.broadcast((id(frequency), {r["gram"]: math.log(1 + n / (1 + r["count"])) for r in frequency}))
     typed = _terms_udf(False, nick)
     index = cut(_exploded(known, "__entity_core", _terms_udf(True, nick)))
-    hot = cut(index.groupBy("__term").count().where(F.col("count") > HOT_TERM).select("__term"))
     cost = _cost_udf(weights, nick)
-    rare = index.join(hot, "__term", "left_anti")
-    scored = first = cut(_scored(_exploded(rest, "__core", typed), rare, cost))
-    if hot.head(1):
-        # The terms that many entities share, for the names that have found none by rarer ones.
-        left = rest.join(first.select("__core").distinct(), "__core", "left_anti").repartition(_parts(names), "__core")
-        scored = cut(first.unionByName(_scored(_exploded(left, "__core", typed), index.join(hot, "__term", "left_semi"), cost)))
+    scored = cut(_scored(*_split(_exploded(rest, "__core", typed), index), cost))
     best = scored.groupBy("__core").agg(F.min("__cost").alias("__least"))
     near = scored.join(best, "__core").where(F.col("__cost") <= F.col("__least") + DISPUTED)
     rivals = near.groupBy("__core").agg(

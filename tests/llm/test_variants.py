@@ -41,3 +41,16 @@ def test_terms_kept_from_many_entities_come_in_the_second_pass(spark, monkeypatc
     mentions = spark.createDataFrame([(1, "Sari Dewi Lestri"), (2, "Sari D. Kusuma"), (3, "Sari Dewi Pratma")], "id int, ditulis string")
     got = sorted((r.id, r.k) for r in variants.mentions_linked(mentions, "ditulis", entities, "k", "orang", {}).collect())
     assert got == [(1, 0), (2, 1), (3, 2)]
+
+
+def test_terms_of_many_entities_count_for_names_that_rarer_terms_link_already(spark, monkeypatch):
+    monkeypatch.setattr(variants, "HOT_TERM", 1)
+    # Entity 3 (cost 2.55) alone has the terms of 'lestri'; the better entity 1 (0.7) shares all of its terms.
+    people = [(1, "Sari Dewi Lestari"), (2, "Sari Dewi Lestarini"), (3, "Lestri Sari Kusuma Dewa"), (4, "Sari Lestri")]
+    typed = ["Sari Dewi Lestri", "Sari Dewi Lestrini"]
+    entities = spark.createDataFrame(people, "k int, orang string")
+    mentions = spark.createDataFrame(list(enumerate(typed)), "id int, ditulis string")
+    got = {(r.id, r.k) for r in variants.mentions_linked(mentions, "ditulis", entities, "k", "orang", {}).collect()}
+    monkeypatch.setattr(variants, "HOT_TERM", 10**9)
+    whole = {(r.id, r.k) for r in variants.mentions_linked(mentions, "ditulis", entities, "k", "orang", {}).collect()}
+    assert got == whole == {(0, 1), (1, 2)}
