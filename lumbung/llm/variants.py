@@ -1,9 +1,10 @@
 """Variant spellings of names typed by people, linked to the entity they mean.
 
 Names become character-trigram vectors weighted by inverse document frequency. The sparse similarity join runs over index
-terms that are pairs of anchored n-grams (whole word, first three, last three letters) of two different words of a name, so
-a term is rare even where the pool of name words is small, and a variant shares several with its entity unless every word is
-damaged. Pairs whose cosine passes the threshold are checked word by word (typos, initials, nicknames, moved, merged, split
+terms that are pairs of units of an entity: words, two neighbouring words in one, first letters. A typed unit (a word, two
+neighbouring words in one, an initial) first meets every unit of the entities' vocabulary that the word check accepts, by
+n-grams and deletion neighbourhoods; a typed name then asks for the pairs that two of its units can mean. Every pair of names
+that the check of whole names accepts has such a pair of units, so none is lost whatever its damage. Pairs whose cosine passes the threshold are checked word by word (typos, initials, nicknames, moved, merged, split
 and dropped words). Groups grow by average linkage: every entity is a cluster with its undisputed variants, clusters never
 merge, and a disputed variant joins the cluster whose members are on average most similar to it.
 
@@ -31,7 +32,7 @@ COSINE = 0.38
 MAX_COST = 2.6
 DISPUTED = 0.3
 HOT_TERM = 300
-SHORT = 6
+PREFIX = 7
 
 # Words that stand for titles and degrees, without dots.
 TITLES = frozenset(
@@ -187,30 +188,76 @@ class Aligner:
         return least
 
 
-def keys(words: tuple[str, ...], entity: bool) -> list[str]:
-    """Index terms: pairs of anchored character n-grams of different words."""
-    out = set()
-    soft = [{sound(w), "^" + sound(w)[:3], sound(w)[-3:] + "$"} if len(w) > 1 else set() for w in words]
-    for a in range(len(words)):
-        for b in range(len(words)):
-            if a < b:
-                out.update("+".join(sorted((x, y))) for x in soft[a] for y in soft[b])
-            if a != b and len(words[a]) > 1 and (entity or len(words[b]) == 1):
-                out.update((x + "+" + sound(words[b])[0]) for x in soft[a])
-            elif a != b and len(words[a]) > 1 and len(words[b]) <= SHORT:  # a damaged short word keeps no trigram
-                out.add(sound(words[a]) + "+" + sound(words[b])[0])
-    joined = "".join(words)
-    if len(joined) > 5 and (entity or len(words) <= 2):
-        out.add("=" + sound(joined)[:3] + sound(joined)[-3:])
+def _near(word: str, most: int) -> set[str]:
+    """The first letters of a word, as written and as heard, without up to ``most`` letters: words of at most so many edits
+    have one in common."""
+    out = level = {word[:PREFIX], sound(word)[:PREFIX]}
+    for _ in range(most):
+        level = {w[:i] + w[i + 1 :] for w in level for i in range(len(w))}
+        out = out | level
+    return out
+
+
+def _edits_of(word: str) -> int:
+    return 1 if len(word) <= 4 else 2 if len(word) <= 8 else 3
+
+
+def asked(unit: str, nicknames: dict[str, frozenset[str]]) -> list[str]:
+    """Keys by which a typed unit meets each unit that the word check accepts for it."""
+    official = nicknames.get(unit.lstrip("+"), ())
+    if unit[0] == "+":
+        return sorted({"j" + d for d in _near(unit[1:], 1)} | {"jN" + o for o in official})
+    out = {"s" + d for d in _near(unit, _edits_of(unit))} | {"sP" + unit} | {"sN" + o for o in official}
+    if len(unit) > 6:
+        bands = {(len(unit) - 2) // 5, (len(unit) + 2) // 5}
+        out |= {f"b{n}{unit[0]}{d}" for d in _near(unit, 2) for n in bands} | {"bN" + o for o in official}
     return sorted(out)
 
 
-def expanded(words: tuple[str, ...], nicknames: dict[str, frozenset[str]]) -> list[str]:
-    """Index terms of a typed name, also with each nickname replaced by its official forms."""
-    out = set(keys(words, False))
+def offered(unit: str) -> list[str]:
+    """Keys of a unit of an entity."""
+    if unit[0] == "=":
+        both = unit[1:]
+        return sorted({f"b{len(both) // 5}{both[0]}{d}" for d in _near(both, 2)} | {"bN" + both})
+    out = {"s" + d for d in _near(unit, _edits_of(unit))} | {"j" + d for d in _near(unit, 1)} | {"sN" + unit, "jN" + unit}
+    n = len(unit)
+    short = {unit[:k] for k in range(3, n)} | {unit[-k:] for k in range(3, n)}
+    for k in range(2, n):
+        short.update(unit[:k] + unit[-m:] for m in range(1, n - k))
+        short.update(unit[:k] + end for end in ("to", "i", "o") if k + len(end) < n)
+    return sorted(out | {"sP" + x for x in short if len(x) >= 3})
+
+
+def typed_units(words: tuple[str, ...]) -> set[str]:
+    joined = {"+" + a + b for a, b in zip(words, words[1:]) if len(a) > 1}
+    return {w for w in words if len(w) > 1} | joined
+
+
+def typed_pairs(words: tuple[str, ...]) -> list[str]:
+    """For each way to join neighbouring words, the two longest units, as unit|unit; a lone unit as unit|."""
+    ways: list[list[tuple[str, ...]]] = [[()]]
     for k, word in enumerate(words):
-        for official in nicknames.get(word, ()):
-            out.update(keys((*words[:k], official, *words[k + 1 :]), False))
+        found = [(*way, word if len(word) > 1 else "*" + word) for way in ways[k]]
+        if k and len(words[k - 1]) > 1:
+            found += [(*way, "+" + words[k - 1] + word) for way in ways[k - 1]]
+        ways.append(found)
+    out = set()
+    for way in ways[-1]:
+        first = sorted(way, key=lambda u: (u[0] == "*", -len(u), u))[:2]
+        out.add("|".join(first) if len(first) > 1 else first[0] + "|")
+    return sorted(out)
+
+
+def entity_pairs(words: tuple[str, ...]) -> list[str]:
+    """Index terms of an entity: pairs of units without a common word; lone units where the rest of the name may be left out."""
+    n = len(words)
+    units = [(w, k, k) for k, w in enumerate(words)] + [("*" + w[0], k, k) for k, w in enumerate(words)]
+    units += [("=" + words[k] + words[k + 1], k, k + 1) for k in range(n - 1)]
+    out = {"|".join(sorted((x, y))) for x, _, end in units for y, start, _ in units if end < start}
+    if n == 1:
+        out |= {"|" + words[0], "|*" + words[0][0]}
+    elif n <= 3:
+        out |= {"|" + u for u, _, _ in units if u[0] == "="}
     return sorted(out)
 
 
@@ -252,14 +299,12 @@ def _core_udf():
     return core
 
 
-def _terms_udf(entity: bool, nicknames):
+def _lists_udf(of):
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def terms(cores: pd.Series) -> pd.Series:
-        if entity:
-            return cores.map(lambda c: keys(tuple(c.split()), True))
-        return cores.map(lambda c: expanded(tuple(c.split()), nicknames.value))
+    def lists(texts: pd.Series) -> pd.Series:
+        return texts.map(of)
 
-    return terms
+    return lists
 
 
 def _grams_udf():
@@ -319,9 +364,48 @@ def _parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _exploded(names: DataFrame, core: str, terms) -> DataFrame:
-    """Names with one row an index term. Terms travel as 64-bit hashes: equal hashes of other terms only add pairs to check."""
-    return names.withColumn("__t", F.explode(terms(core))).withColumn("__term", F.xxhash64("__t")).drop("__t")
+def _plausible_udf(nicknames):
+    @F.pandas_udf(T.BooleanType())
+    def plausible(typed: pd.Series, units: pd.Series) -> pd.Series:
+        word = Aligner(nicknames.value).word
+        out = []
+        for t, u in zip(typed, units):
+            cost = word(t.lstrip("+"), u.lstrip("="))
+            out.append(cost is not None and cost < (1.2 if t[0] == "+" else 1.5 if u[0] == "=" else MAX_COST + 0.1))
+        return pd.Series(out, dtype="bool")
+
+    return plausible.asNondeterministic()  # as for the cost
+
+
+def _meant(rows: DataFrame, unit: str, out: str, matched: DataFrame) -> DataFrame:
+    """Rows with each unit of entities that ``unit`` can mean; initials and missing units mean themselves."""
+    word = F.col(unit).rlike("^[a-z+]")
+    found = rows.where(word).join(matched.select(F.col("__typed").alias(unit), F.col("__unit").alias(out)), unit).drop(unit)
+    return found.unionByName(rows.where(~word).withColumnRenamed(unit, out))
+
+
+def _terms(rest: DataFrame, known: DataFrame, nicknames) -> tuple[DataFrame, DataFrame]:
+    """Names and entities with one row an index term. Keys and terms travel as 64-bit hashes: equal hashes of other terms
+    only add pairs to check."""
+    index = known.withColumn("__term", F.explode(F.transform(_lists_udf(lambda c: entity_pairs(tuple(c.split())))("__entity_core"), lambda x: F.xxhash64(x))))
+    typed = rest.select(F.explode(_lists_udf(lambda c: sorted(typed_units(tuple(c.split()))))("__core")).alias("__typed")).distinct()
+    words = F.split("__entity_core", " ")
+    both = F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words)), lambda a, b: F.concat(F.lit("="), a, b))
+    units = known.select(F.explode(F.concat(words, both)).alias("__unit")).distinct()
+    parts = _parts(rest)
+    ask = _lists_udf(lambda u: asked(u, nicknames.value))
+    typed = typed.repartition(parts, "__typed").withColumn("__key", F.explode(F.transform(ask("__typed"), lambda x: F.xxhash64(x))))
+    units = units.repartition(parts, "__unit").withColumn("__key", F.explode(F.transform(_lists_udf(offered)("__unit"), lambda x: F.xxhash64(x))))
+    t, u = F.col("__typed"), F.col("__unit")
+    close = F.when(u.startswith("="), (F.abs(F.length(t) + 1 - F.length(u)) <= 2)).when(t.startswith("+"), F.abs(F.length(t) - 1 - F.length(u)) <= 1)
+    met = typed.join(units.hint("shuffle_hash"), "__key").where(F.coalesce(close, F.lit(True))).select("__typed", "__unit")
+    met = met.repartition(parts, "__typed").distinct()
+    matched = cut(met.where(_plausible_udf(nicknames)("__typed", "__unit")))
+    asking = rest.select("__core", F.explode(_lists_udf(lambda c: typed_pairs(tuple(c.split())))("__core")).alias("__pair"))
+    asking = cut(asking.select("__core", F.split_part("__pair", F.lit("|"), F.lit(1)).alias("__a"), F.split_part("__pair", F.lit("|"), F.lit(2)).alias("__b")))
+    asking = _meant(_meant(asking, "__a", "__x", matched), "__b", "__y", matched)
+    term = F.concat(F.least("__x", "__y"), F.lit("|"), F.greatest("__x", "__y"))
+    return asking.select("__core", F.xxhash64(term).alias("__term")).distinct(), index
 
 
 def _split(queries: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -373,10 +457,8 @@ def link(names: DataFrame, name: str, entities: DataFrame, entity: str, entity_n
     )
     n = sum(r["count"] for r in frequency)
     weights = spark.sparkContext.broadcast((id(frequency), {r["gram"]: math.log(1 + n / (1 + r["count"])) for r in frequency}))
-    typed = _terms_udf(False, nick)
-    index = cut(_exploded(known, "__entity_core", _terms_udf(True, nick)))
-    cost = _cost_udf(weights, nick)
-    scored = cut(_scored(*_split(_exploded(rest, "__core", typed), index), cost))
+    asking, index = _terms(rest, known, nick)
+    scored = cut(_scored(*_split(cut(asking), cut(index)), _cost_udf(weights, nick)))
     best = scored.groupBy("__core").agg(F.min("__cost").alias("__least"))
     near = scored.join(best, "__core").where(F.col("__cost") <= F.col("__least") + DISPUTED)
     rivals = near.groupBy("__core").agg(

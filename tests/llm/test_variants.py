@@ -1,3 +1,5 @@
+import random
+
 from lumbung.llm import variants
 
 NICK = {"budi": frozenset({"budiman"})}
@@ -54,3 +56,34 @@ def test_terms_of_many_entities_count_for_names_that_rarer_terms_link_already(sp
     monkeypatch.setattr(variants, "HOT_TERM", 10**9)
     whole = {(r.id, r.k) for r in variants.mentions_linked(mentions, "ditulis", entities, "k", "orang", {}).collect()}
     assert got == whole == {(0, 1), (1, 2)}
+
+
+def test_index_terms_lose_no_pair_that_the_check_accepts(spark):
+    draw = random.Random(4)
+    pool = ["dewi", "sari", "lestari", "kusuma", "anwar", "budiman", "dewantara", "muhammad", "ayu", "m", "putri", "dwi", "wijayakusuma", "tjokro", "rahmawati"]
+    names = sorted({" ".join(draw.sample(pool, draw.choice((1, 2, 2, 3, 3, 4)))) for _ in range(120)} | {"dewi lestari"})
+
+    def damaged(name):
+        words = name.split()
+        for _ in range(draw.choice((1, 1, 2, 3))):
+            k = draw.randrange(len(words))
+            w, i = words[k], draw.randrange(len(words[k]))
+            words[k] = draw.choice((w[:i] + w[i + 1 :], w[:i] + w[i + 1 : i + 2] + w[i] + w[i + 2 :], w[:i] + "e" + w[i:], w[:i] + "u" + w[i + 1 :],
+                                    w[0], w[:4], w[-4:], w[:3] + "to", w[:2] + w[-2:], w[:i] + " " + w[i:], w.replace("c", "tj"), "budi")).strip() or w
+        words = " ".join(words).split()
+        if draw.random() < 0.3 and len(words) > 1:
+            k = draw.randrange(len(words) - 1)
+            words[k : k + 2] = [words[k] + words[k + 1]]
+        if draw.random() < 0.2:
+            draw.shuffle(words)
+        return " ".join(words)
+
+    typed = sorted({damaged(draw.choice(names)) for _ in range(1500)} | {"dwei lestri"})
+    align = variants.Aligner(NICK).name
+    costs = {(t, n): align(tuple(t.split()), tuple(n.split())) for t in typed for n in names}
+    want = {pair for pair, c in costs.items() if c is not None and c <= variants.MAX_COST}
+    known = spark.createDataFrame(list(enumerate(names)), "__entity int, __entity_core string")
+    asking, index = variants._terms(spark.createDataFrame([(t,) for t in typed], "__core string"), known, spark.sparkContext.broadcast(NICK))
+    met = {tuple(r) for r in asking.join(index, "__term").select("__core", "__entity_core").distinct().collect()}
+    assert ("dwei lestri", "dewi lestari") in met
+    assert len(want) > 1000 and not want - met, sorted(want - met)[:9]
