@@ -7,7 +7,11 @@ is judged on its own:
   times with gaps of at most ``MAX_GAP`` is unnaturally regular; the share of such terms is smoothed over the window;
 * autocorrelation: share of terms equal to the term ``lag`` places earlier, for each lag up to ``MAX_GAP``; its peak over
   lags marks strictly periodic texts, also those of a single repeated word;
-* lists: windows with (almost) no function words, many distinct terms, tag marks or links to many hosts.
+* lists: windows with (almost) no function words, many distinct terms, tag marks or links to many hosts; links of few hosts
+  where they hold most of a window's characters, so that a link beside prose is none.
+
+Texts shorter than ``MIN_TERMS`` have no windows: their lists are at least ``MIN_LINKS`` links or tags, terms that occur
+``MIN_REPEATS`` times, or ``MIN_ITEMS`` separated items without any function word (a title has no items).
 
 Structured lists that belong to scholarly texts (references, attendance, budgets, contents, keyword lines) are known by the
 layout of their lines and never count, unless their terms recur regularly. A text is spam when the flagged terms hold more
@@ -34,6 +38,8 @@ SALAD = 0.7
 SHARE = 0.5
 MIN_TERMS = 12
 MIN_HOSTS = 3
+MIN_LINKS = 3
+MIN_ITEMS = 5
 
 # Function words of Indonesian, Malay and English.
 FUNCTION_WORDS = frozenset(
@@ -155,8 +161,22 @@ def _periodic(ids: np.ndarray) -> np.ndarray:
     return marked
 
 
+def _short(text: str, terms: list[str], ids: np.ndarray, function: np.ndarray, latin: np.ndarray, link: np.ndarray) -> np.ndarray:
+    """Terms of lists in a text without a window."""
+    tags = np.fromiter((t[0] in "#~@$" for t in terms), bool, len(terms))
+    out = (np.bincount(ids)[ids] >= MIN_REPEATS) & ~function
+    for marked in (tags, link):
+        if np.count_nonzero(marked) >= MIN_LINKS:
+            out |= marked
+    if not function.any() and latin.mean() > 0.5:
+        sizes = [n for item in re.split(r"[,;|\n]", text) if (n := sum(t != "\n" and not t[0].isdigit() for t in _TERM.findall(item)))]
+        if len(sizes) >= MIN_ITEMS and max(sizes) <= 3:
+            out[:] = True
+    return out
+
+
 def spam_share(text: str | None) -> float:
-    """Share of the text's term characters that lie in spam; 0 for null, blank and very short texts."""
+    """Share of the text's term characters that lie in spam; 0 for null and blank texts."""
     if not text:
         return 0.0
     if "&" in text:
@@ -171,13 +191,16 @@ def spam_share(text: str | None) -> float:
     raw = np.fromiter((known[t] for t in terms), np.int64, len(terms))
     newline = raw == end
     n = len(raw) - np.count_nonzero(newline)
-    if n < MIN_TERMS:
+    if not n:
         return 0.0
     lines = np.fromiter((_structured(line) for line in text.split("\n")), bool)
     free = ~lines[np.cumsum(newline)[~newline]]
     ids = raw[~newline]
     weight, link, function, latin = known.weight[ids], known.link[ids], known.function[ids], known.latin[ids]
     ids = known.same[ids]
+    if n < MIN_TERMS:
+        flagged = free & _short(text, [t for t in terms if t != "\n"], ids, function, latin, link)
+        return float(weight[flagged].sum() / weight.sum())
     pairs = _pairs(ids, function)
     regular = np.zeros(n, bool)
     if np.count_nonzero(pairs) * 4 >= WINDOW:
@@ -199,7 +222,10 @@ def spam_share(text: str | None) -> float:
     if link.any():
         hosts = {m[1].lower() for t in terms if len(t) > 8 and _LINK.match(t) and (m := _HOST.match(t))}
         if len(hosts) < MIN_HOSTS:
-            lists &= ~link
+            run = np.zeros(n, bool)
+            if np.count_nonzero(link[at]) >= MIN_LINKS:
+                run[at] = link[at] & (_around(weight[at] * link[at], WINDOW // 2) > 0.5 * _around(weight[at], WINDOW // 2))
+            lists = lists & ~link | run
         else:
             dense = np.zeros(n, bool)
             dense[at] = _around(link[at], WINDOW // 2) >= 0.15
@@ -215,7 +241,7 @@ def _share(texts):
 def shares(documents: DataFrame, text: str = "text", out: str = "bagian_spam") -> DataFrame:
     """Every row with its spam share; map-only, whole texts, no shuffle.
 
-    Null, empty, blank and very short texts have share 0; repeated rows stay repeated; a column named like ``out`` is
+    Null, empty and blank texts have share 0; repeated rows stay repeated; a column named like ``out`` is
     replaced.
     """
     return documents.withColumn(out, _share(F.col(f"`{text}`").cast("string")))

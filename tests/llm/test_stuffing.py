@@ -51,3 +51,26 @@ def test_rows(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as bagian_spam")
     assert sorted(r.doc_id for r in stuffing.stuffed(df).collect()) == [3, 3, 6]
     assert stuffing.stuffed(df.limit(0)).count() == 0
+
+
+def test_lists_of_few_hosts_and_short_lists():
+    for text in (
+        "\n".join(f"https://toko.example/p/{i}" for i in range(1, 61)),
+        "\n".join(f"Kopi {w} https://{h}.example/barang/{w}-{i}" for i, w in enumerate("sewa jual beli obral".split() * 5) for h in ("toko", "warung")),
+        "\n".join(f"https://toko.example/p/{i}" for i in range(1, 12)),
+        "\n".join(f"https://toko-{i}.example/p" for i in range(4)),
+        "#kopi #obral #murah #grosir #sewa",
+        "kopi, sewa murah, grosir alat, obral, bambu",
+        "promo promo promo promo promo",
+    ):
+        assert stuffing.spam_share(text) > 0.5, text[:80]
+    for text in (
+        PROSE + "https://toko.example/p/1 " + PROSE + "https://toko.example/p/2 https://toko.example/p/3",
+        "https://data.example/laporan/2020",
+        "Rancang Bangun Sistem Irigasi Tetes Otomatis",
+        "Kata kunci: kopi, bambu, sensor, gambut, alat",
+        "caf\u00e9 r\u00e9sum\u00e9",
+        "   !!!???... ",
+        "Kami mengukur kopi, bambu, sensor, gambut dan alat",
+    ):
+        assert stuffing.spam_share(text) <= 0.5, text[:80]
