@@ -28,7 +28,7 @@ def mask(value: Column) -> Column:
     text = F.regexp_replace(value, r"[^\x20-\x7E\s]", "\u0001")  # other than ASCII
     text = F.regexp_replace(text, r"[\t\n\x0B\f\r]", "\u0002")
     text = F.regexp_replace(text, r"[A-Za-z]+", "A")
-    text = F.regexp_replace(text, r"[0-9]", "9")
+    text = F.translate(text, "012345678", "9" * 9)
     text = F.regexp_replace(text, rf"9{{{DIGITS},}}", "9" * DIGITS)
     return F.translate(text, "\u0001\u0002", "¿␣")
 
@@ -90,7 +90,7 @@ def differing_loads(figures: DataFrame, null_gap: float, mean_gap: float) -> Dat
 
 def profile(rows: DataFrame, load: str, columns: list[str] | None = None) -> DataFrame:
     """One row a load and column: rows, nulls, null share, distinct values (HyperLogLog++, 2 % error), smallest and largest
-    value as text (numbers in numeric order; NaN is not in the range), mean length of texts, most frequent class of value.
+    value as text (numbers in numeric order; NaN is not in the range), mean length of texts. Classes of values: ``mask_shares``.
 
     All rows in one aggregate whose state does not grow with the rows. Arrays and structs are profiled as JSON.
     """
@@ -126,18 +126,33 @@ def profile(rows: DataFrame, load: str, columns: list[str] | None = None) -> Dat
 
 
 def masks(rows: DataFrame, load: str, columns: list[str]) -> DataFrame:
-    """Counts of masks per column and load."""
-    parts = [F.struct(F.lit(c).alias("kolom"), mask(F.col(f"`{c}`")).alias("topeng")) for c in columns]
-    long = rows.select(F.col(f"`{load}`").cast("string").alias("muat"), F.inline(F.array(*parts)))
-    return long.where(F.col("topeng").isNotNull()).groupBy("kolom", "muat", "topeng").agg(F.count("*").alias("baris"))
+    """Counts of masks per column and load. Arrays count by element, structs and maps as JSON, other values as text."""
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
+    def cell(name: str, value: Column, kind: str) -> Column:
+        value = F.to_json(value) if kind.startswith(("array", "struct", "map")) else value.cast("string")
+        return F.struct(F.lit(name).alias("kolom"), value.alias("nilai"))
 
-def rare_masks(counts: DataFrame, share: float = RARE) -> DataFrame:
-    """Masks that hold less than ``share`` of their column's values, with their rows and share."""
+    def cells(name: str) -> Column:
+        return F.transform(F.coalesce(F.col(f"`{name}`"), F.array()), lambda x: cell(name, x, kinds[name][6:-1]))
+
+    parts = [F.array(*[cell(c, F.col(f"`{c}`"), kinds[c]) for c in columns if not kinds[c].startswith("array")])]
+    parts += [cells(c) for c in columns if kinds[c].startswith("array")]
+    long = rows.select(F.col(f"`{load}`").cast("string").alias("muat"), F.inline(F.concat(*parts) if len(parts) > 1 else parts[0]))
+    long = long.where(F.col("nilai").isNotNull()).withColumn("topeng", mask(F.col("nilai")))
+    return long.groupBy("kolom", "muat", "topeng").agg(F.count("*").alias("baris"))
+
+
+def mask_shares(counts: DataFrame) -> DataFrame:
+    """Each mask of a column with its rows and its share of the column's values."""
     by_mask = counts.groupBy("kolom", "topeng").agg(F.sum("baris").alias("baris"))
     total = counts.groupBy("kolom").agg(F.sum("baris").alias("semua"))
-    out = by_mask.join(total, "kolom").withColumn("bagian", F.col("baris") / F.col("semua"))
-    return out.where(F.col("bagian") < share).select("kolom", "topeng", "baris", "bagian")
+    return by_mask.join(total, "kolom").withColumn("bagian", F.col("baris") / F.col("semua")).select("kolom", "topeng", "baris", "bagian")
+
+
+def rare_masks(counts: DataFrame, share: float = RARE) -> DataFrame:
+    """Masks that hold less than ``share`` of their column's values, with their rows and share."""
+    return mask_shares(counts).where(F.col("bagian") < share)
 
 
 def divergence(counts: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from lumbung.operators import drift
 from lumbung.operators import orphans as orphan
 from lumbung.operators import packed
 from lumbung.operators import profile as prof
-from lumbung.session import ship, table
+from lumbung.session import cut, ship, table
 
 FACT_REFERENCES = (
     (orphan.Reference("dosen_id", "dosen_id"), "dim_dosen"),
@@ -107,19 +107,29 @@ def p5_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _masks(spark: SparkSession, sf_dir: str, what) -> DataFrame:
-    parts = [
-        what(prof.masks(table(spark, sf_dir, t), LOADS[t], columns)).withColumn("tabel", F.lit(t)) for t, columns in MASKED.items()
-    ]
-    return parts[0].unionByName(parts[1])
+def _masks(spark: SparkSession, sf_dir: str, what, columns: dict[str, list[str]]) -> DataFrame:
+    parts = [what(prof.masks(table(spark, sf_dir, t), LOADS[t], names)).withColumn("tabel", F.lit(t)) for t, names in columns.items()]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
+def p5_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dominant and rare masks of every column of the profiled tables."""
+    columns = {t: table(spark, sf_dir, t).columns for t in LOADS}
+    kind = F.when(F.col("bagian") < prof.RARE, "jarang").otherwise("dominan")
+    return _masks(spark, sf_dir, prof.mask_shares, columns).withColumn("jenis", kind)
 
 
 def p5_rare_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _masks(spark, sf_dir, prof.rare_masks)
+    """Rare masks of the columns that its SQL covers; ``p5_masks`` has those of all columns."""
+    return _masks(spark, sf_dir, prof.rare_masks, MASKED)
 
 
 def p5_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _masks(spark, sf_dir, prof.divergence)
+    columns = {t: [c for c in table(spark, sf_dir, t).columns if c != load] for t, load in LOADS.items()}
+    return _masks(spark, sf_dir, lambda counts: prof.divergence(cut(counts)), columns)  # the counts are used four times
 
 
 def _malformed_sql(name: str, column: str, good: str) -> str:
@@ -190,6 +200,7 @@ QUERIES = {
     "p3_found": p3_found,
     "p5_found": p5_found,
     "p5_profile": p5_profile,
+    "p5_masks": p5_masks,
     "p5_rare_masks": p5_rare_masks,
     "p5_divergence": p5_divergence,
     "p6_found": p6_found,

@@ -87,3 +87,21 @@ def test_loads_and_profile(spark):
     mixed = profile.masks(spark.createDataFrame([(1, "a1"), (1, "a2"), (2, "b")], "m int, v string"), "m", ["v"])
     assert {r.muat: round(r.divergensi, 9) for r in profile.divergence(mixed).collect()} == {"1": 1.0, "2": 1.0}
     assert profile.rare_masks(mixed, 0.5).select("topeng").collect()[0][0] == "A"
+
+
+def test_masks_of_every_column(spark):
+    import __spark_entry__ as entry
+    from lumbung.plans.problems import LOADS
+    from lumbung.session import table
+
+    rows = spark.createDataFrame([(1, [10, None], 1.5, "a"), (2, None, None, "b1"), (2, [7], 2.5, "c")], "m int, xs array<int>, s double, t string")
+    got = {(r.kolom, r.topeng): r.baris for r in profile.mask_shares(profile.masks(rows, "m", rows.columns)).collect()}
+    assert got == {("m", "9"): 3, ("xs", "99"): 1, ("xs", "9"): 1, ("s", "9.9"): 2, ("t", "A"): 2, ("t", "A9"): 1}
+    masks = entry.queries()["p5_masks"](spark, entry.SMALLEST).collect()
+    loads = entry.queries()["p5_divergence"](spark, entry.SMALLEST).collect()
+    for name, load in LOADS.items():
+        rows = table(spark, entry.SMALLEST, name)
+        filled = {c for c, kind in rows.dtypes for e in [F.exists(c, F.isnotnull) if kind.startswith("array") else F.col(c).isNotNull()] if rows.where(e).head(1)}
+        assert {r.kolom for r in masks if r.tabel == name} == filled
+        assert {r.kolom for r in loads if r.tabel == name} == filled - {load}
+    assert {r.jenis for r in masks if r.bagian >= profile.RARE} == {"dominan"} and all(r.bagian < profile.RARE for r in masks if r.jenis == "jarang")
