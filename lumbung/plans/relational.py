@@ -42,6 +42,13 @@ def norm_ws_filter(spark, sf):
     return rows.select("doc_id", F.upper(F.trim(F.regexp_replace("text", r"[\t\n\f\r ]+", " "))).alias("teks"))
 
 
+@query()
+def norm_ws(spark, sf):
+    """As ``norm_ws_filter``, over all texts that are not blank; no SQL, since engines differ in upper case outside ASCII."""
+    rows = table(spark, sf, "documents").where(F.col("text").isNotNull() & (F.trim("text") != ""))
+    return rows.select("doc_id", F.upper(F.trim(F.regexp_replace("text", r"[\t\n\f\r ]+", " "))).alias("teks"))
+
+
 @query("""SELECT n_nationkey, upper(coalesce(nullif(trim(CASE WHEN n_nationkey % 3 = 0 THEN ' ' WHEN n_nationkey % 3 = 1 THEN NULL ELSE n_name END), ''), 'Tidak tercatat')) AS label
     FROM nation""")
 def default_label(spark, sf):
