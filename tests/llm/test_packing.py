@@ -59,3 +59,20 @@ def test_rows(spark):
     assert len(placed) <= 1.02 * sum(placed.values()) / 2048 + 1
     assert packing.packed(df.limit(0), "doc_id", "n").count() == 0
     assert packing.fill(packing.packed(df, "doc_id", "n", (512, 1024, 2048))).count() >= 1
+
+
+def test_every_document_gets_its_container_of_several_lengths(spark):
+    import __spark_entry__ as entry
+    from lumbung.llm import tokens
+    from lumbung.session import table
+
+    rows = entry.queries()["p8_lengths_packed"](spark, entry.SMALLEST).collect()
+    filled, capacity, length = {}, {}, {}
+    for r in rows:
+        filled[r.wadah] = filled.get(r.wadah, 0) + r.panjang
+        assert capacity.setdefault(r.wadah, r.kapasitas) == r.kapasitas
+        length[r.doc_id] = length.get(r.doc_id, 0) + r.panjang
+    lengths = (256, 512, 1024, 2048)
+    assert all(c == min(x for x in lengths if x >= filled[w]) for w, c in capacity.items())
+    sizes = tokens.measured(table(spark, entry.SMALLEST, "documents"), keep=["doc_id"]).where("n_token > 0").collect()
+    assert length == {r.doc_id: r.n_token for r in sizes}
