@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,30 +16,74 @@ M.M.Par M.Agr S.Sos M.Aktr M.I.P M.Komp D.Eng B.Sc MSME MURP M.Hum M.Han S.Gz S.
 M.PWK M.Eng.Sc M.Li M.I.A M.Stat MScTech M.Pharm.Sci M.Pharm.S S.Arsl M.Biotech M.Biomed M.Clin.Pharm M.Pharm S.S.I MS.Arch
 B.Sc(Hons) PHD STP M.BEnv S.Si.Kom
 """.split()
-TITLES = ("Prof.", "Dr.Eng.", "Dr.-Ing.", "Dr,-Ing.", "Dr.", "Ir.", "Ir,", "apt.", "Drs.")
+TITLES = ("Prof.", "Dr.Eng.", "Dr.-Ing.", "Dr.", "Ir.", "apt.", "Drs.", "Dr,-Ing.", "Ir,")
 ORGANISATIONS = ("Yayasan", "Penerbit")
 
-_DEGREE = "|".join(r"\.\s*".join(map(re.escape, d.split("."))) for d in sorted(DEGREES, key=len, reverse=True))
-_BEHIND = re.compile(rf"(?:(?:[,.]\s*|\s+)(?:{_DEGREE})\.?(?:\([^()]*\))?\.?)+$", re.I)
-_BEFORE = re.compile(rf"^(?:(?:{'|'.join(map(re.escape, TITLES))})[,\s]*)+", re.I)
-_OPEN = re.compile(r"\([^()]*$")
+_PARTS = frozenset(tuple(d.upper().split(".")) for d in DEGREES)
+_MOST_PARTS = max(map(len, _PARTS))
+_EDGE = " .,"
+
+
+def _without_bracket(text: str) -> str:
+    """Without a bracket that is written onto the last word: 'M.Sc(Eng)' -> 'M.Sc', but 'M.Sc (Eng)' as it is."""
+    if not text.endswith(")"):
+        return text
+    at = text.rfind("(")
+    return text if at < 1 or text[at - 1].isspace() or ")" in text[at:-1] else text[:at].rstrip(".")
+
+
+def _degree_at_end(text: str) -> int | None:
+    """Where the degree begins that the text ends with, read as dotted parts from the right; None without one.
+
+    Parts of a degree are joined by a dot and blanks; before its first part stands a dot, a comma or a blank.
+    """
+    parts: list[str] = []
+    begin, end = None, len(text)
+    while len(parts) < _MOST_PARTS:
+        start = end
+        while start and text[start - 1] not in _EDGE and not text[start - 1].isspace():
+            start -= 1
+        if start in (0, end):
+            break
+        parts.insert(0, text[start:end].upper())
+        if tuple(parts) in _PARTS:
+            begin = start
+        end = len(text[:start].rstrip())
+        if not end or text[end - 1] != ".":
+            break
+        end -= 1
+    return begin
+
+
+def _without_degrees(text: str) -> str:
+    text = text.strip(_EDGE)
+    while True:
+        for ending in (text, _without_bracket(text).rstrip(".")):
+            if (at := _degree_at_end(ending)) is not None:
+                break
+        else:
+            return text
+        text = text[:at].strip(_EDGE)
+
+
+def _without_titles(text: str) -> str:
+    while found := [t for t in TITLES if text[: len(t)].lower() == t.lower()]:
+        text = text[max(map(len, found)) :].lstrip(", \t")
+    return text.strip(_EDGE)
 
 
 def root(name: str | None) -> str | None:
     """Upper-case name without degrees and titles; None for author lists cut with '...', organisations and empty names."""
     if name is None:
         return None
-    text = str(name).replace("\xa0", " ").translate({10: None, 13: None}).strip()
-    if re.search(r", ?\.\.\.", text) or any(word in text for word in ORGANISATIONS):
+    text = str(name).replace("\xa0", " ").replace("\n", "").replace("\r", "").strip()
+    cut_list = ",..." in text.replace(", ...", ",...")
+    if cut_list or any(word in text for word in ORGANISATIONS):
         return None
-    for last in (False, True):
-        shorter = None
-        while shorter != text:
-            shorter, text = text, _BEHIND.sub("", text).strip(" .,")
-        if not last:
-            text = _OPEN.sub("", text).strip(" .,")
-    text = _BEFORE.sub("", text).strip(" .,").upper()
-    return re.sub(r"\s+", " ", text.strip()) or None
+    text = _without_degrees(text)
+    if text.rfind("(") > text.rfind(")"):  # a bracket that was never closed
+        text = _without_degrees(text[: text.rindex("(")])
+    return " ".join(_without_titles(text).upper().split()) or None
 
 
 def _root_udf():

@@ -230,13 +230,6 @@ def fact_citation(spark: SparkSession, sf: str) -> DataFrame:
     return s.citation.join(s.person, "dosen_id", "left").join(journals, "jurnal_id", "left").select("nama", "nip", "nama_jurnal", "kategori_jurnal", "total_publikasi", "total_internasional", "total_nasional")
 
 
-def disjoint_sheets(spark: SparkSession, sf: str) -> DataFrame:
-    """Silver grants built from the sheet."""
-    from lumbung.plans import silver
-
-    return silver.grants(table(spark, sf, "bronze_penelitian")).drop("id")
-
-
 LARGEST_LEAD = ("mart_hibah_diterima", "mart_total_dana_dan_jumlah_tiap_hibah", "mart_total_diterima_tiap_hibah")  # depend on the order of keys
 QUERIES = {name: (_readable if name in LARGEST_LEAD else _query)(mart) for name, mart in MARTS.items()} | {
     "gold_dim_dosen": dim_person,
@@ -245,7 +238,6 @@ QUERIES = {name: (_readable if name in LARGEST_LEAD else _query)(mart) for name,
     "gold_fact_hibah": fact_grant,
     "gold_fact_dosen_hibah": fact_person_grant,
     "gold_fact_sitasi": fact_citation,
-    "silver_grants": disjoint_sheets,
 }
 
 _CTE = """WITH people AS (

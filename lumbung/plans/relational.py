@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lumbung.functions import text
 from lumbung.operators import joins
 from lumbung.session import table
 
@@ -35,16 +36,20 @@ def distinct_years(spark, sf):
     return table(spark, sf, "orders").select(F.year("o_orderdate").alias("tahun")).distinct().orderBy("tahun")
 
 
-@query(r"""SELECT doc_id, upper(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS teks FROM documents
-    WHERE text IS NOT NULL AND trim(text) <> '' AND regexp_full_match(text, '[\x00-\x7F]*')""")
+_BLANK = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+@query(rf"""SELECT doc_id, teks FROM (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '{_BLANK}', ' ', 'g'), '^ ', ''), ' $', '') AS teks FROM documents)
+    WHERE teks <> '' AND lower(teks) NOT IN ('nan', 'none', 'null', 'n/a', 'na', '-', 'nat', 'tidak ada')""")
 def norm_ws_filter(spark, sf):
-    rows = table(spark, sf, "documents").where(F.col("text").isNotNull() & (F.trim("text") != "") & F.col("text").rlike(r"^[\x00-\x7F]*$"))
-    return rows.select("doc_id", F.upper(F.trim(F.regexp_replace("text", r"[\t\n\f\r ]+", " "))).alias("teks"))
+    """All texts that are not null, blank or a stand-in for null, with every run of Unicode white space as one blank."""
+    rows = table(spark, sf, "documents").select("doc_id", text.normalize_space(F.col("text")).alias("teks"))
+    return rows.where(F.col("teks").isNotNull())
 
 
 @query()
 def norm_ws(spark, sf):
-    """As ``norm_ws_filter``, over all texts that are not blank; no SQL, since engines differ in upper case outside ASCII."""
+    """Upper case and ASCII white space collapsed, over all texts that are not blank; no SQL, since engines differ in upper case outside ASCII."""
     rows = table(spark, sf, "documents").where(F.col("text").isNotNull() & (F.trim("text") != ""))
     return rows.select("doc_id", F.upper(F.trim(F.regexp_replace("text", r"[\t\n\f\r ]+", " "))).alias("teks"))
 

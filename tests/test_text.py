@@ -2,6 +2,8 @@ import datetime as dt
 import re
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lumbung.functions import keys, names, text
@@ -30,7 +32,11 @@ CASES = [
         ("Jurnal X 12 (3), 2025", ("JURNAL X", "12", "3", None, "2025")), ("Jurnal X 12 (3), 10–20, 2024", ("JURNAL X", "12", "3", "10-20", "2024")),
         ("Jurnal X 12 (3), 10-20", ("JURNAL X", "12", "3", "10-20", None)), ("Jurnal X 7, 1-9, 2020", ("JURNAL X", "7", None, "1-9", "2020")),
         ("Jurnal X, 1-9, 2020", ("JURNAL X", None, None, "1-9", "2020")), ("Jurnal X, NULL-NULL, 2020", ("JURNAL X", None, None, None, "2020")),
-        ("Jurnal X, 1234, 2020", ("JURNAL X", None, None, "1234", "2020")), ("Biro &amp; Co", ("BIRO & CO", None, None, None, None)), (None, (None,) * 5)]),
+        ("Jurnal X, 1234, 2020", ("JURNAL X", None, None, "1234", "2020")), ("Biro &amp; Co", ("BIRO & CO", None, None, None, None)), (None, (None,) * 5), ("", ("", None, None, None, None)),
+        ("J 12 (3), 2025.", ("J", "12", "3", "2025", None)), ("J 12 (3), 10-20, 2024..", ("J", "12", "3", "10-20", "2024")), ("J 12, 2020", ("J 12", None, None, None, "2020")),
+        ("J (3), 2020", ("J (3)", None, None, None, "2020")), ("A 5, 6, 7, 2020", ("A 5", "6", None, "7", "2020")), ("J 12 (3, 4), 2024", ("J", "12", "3, 4", None, "2024")),
+        ("J, 1-9, 2020.", ("J, 1-9, 2020.", None, None, None, None)), ("J,, 2020", ("J", None, None, None, "2020")), ("J " * 3000 + "7, 1, 2020", (("J " * 3000).strip(), "7", None, "1", "2020"))]),
+    (text.unescape, [("&eacute;&#233;&#xE9; &#128512;&lt;", "\u00e9\u00e9\u00e9 \U0001f600<"), ("a & b &nosuch; &#x110000;&", "a & b &nosuch; &#x110000;&"), ("&amp;lt;", "&lt;"), ("", ""), (None, None)]),
     (text.person, [("  budi  SANTOSO,", "Budi Santoso."), ("...", None), (None, None), ("Ani", "Ani.")]),
     (text.normalize_space, [("  a \t b ", "a b"), ("nan", None), (None, None)]),
 ]
@@ -53,6 +59,15 @@ def test_roots():
     assert names.root("Budi, Ani") == "BUDI, ANI"
     assert names.root("Penerbit X") is None and names.root("Budi, ...") is None and names.root("") is None
     assert names.root("Ani Dea") == "ANI"
+    for written, bare in (("Budi.S.T", "BUDI"), ("Budi S. T. P.", "BUDI"), ("Budi (ex", "BUDI"), ("Budi, S.T (", "BUDI"), ("Budi, M.Sc (Eng)", "BUDI, M.SC (ENG)"), ("Dea", "DEA"),
+                          ("Dr,-Ing. Budi Ph.D", "BUDI"), ("Dr. Ir, Budi", "BUDI"), ("Prof. Dr.Eng. Budi  A. Sari, B.Sc(Hons), M.Sc.(Eng).", "BUDI A. SARI"), ("x " * 5000, ("X " * 5000).strip())):
+        assert names.root(written) == bare
+
+
+@given(st.lists(st.sampled_from(names.TITLES), max_size=3), st.lists(st.sampled_from(names.DEGREES), max_size=4), st.sampled_from([", ", " ", ",", ", "]), st.booleans())
+def test_titles_and_degrees_come_off(titles, degrees, sep, dots):
+    written = " ".join([*titles, "Budi Ani"]) + "".join(sep + d + ("." if dots else "") for d in degrees)
+    assert names.root(written) == "BUDI ANI"
 
 
 def test_canonical_names(spark):
