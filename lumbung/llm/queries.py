@@ -117,7 +117,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         entered = rows.select("id", F.lit(column).alias("kolom"), F.col(column).alias("nilai"))
         entered = entered.where(F.trim(F.regexp_replace("nilai", r"\s", " ")) != "").distinct()
         own = reference.select(F.col(label).alias("nilai")).distinct()
-        free = entered.join(F.broadcast(own), "nilai", "left_anti")  # the reference lists are fixed: at most tens of entries
+        free = entered.join(own, "nilai", "left_anti")  # broadcast only if the planner measures it small
         parts.append(canonical.mapped(free, "nilai", reference, key, label, RULES[column]).select("id", "kolom", "ref_id"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
 

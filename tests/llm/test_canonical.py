@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lumbung.llm import canonical
-from lumbung.llm.queries import RULES
+from lumbung.llm.queries import REFERENCES, RULES
 
 words = st.text(alphabet="abcd ", max_size=12)
 
@@ -46,10 +46,9 @@ def test_values_and_shards(spark):
     got = {r.id: r.ref_id for r in canonical.mapped(df, "nilai", ref, "k", "n", RULES["skema"]).collect()}
     assert [got[i] for i in range(len(CASES))] == list(CASES.values())
     assert (got[50], got[51], got[52], got[53]) == (None, 0, 2, 0)
-    shards = canonical.mapped(df, "nilai", ref, "k", "n", RULES["skema"], shards=2)
-    assert shards.count() == len(rows)
-    sharded = {r.id: r.ref_id for r in shards.collect()}
-    assert all(sharded[i] == got[i] for i, v in enumerate(CASES) if got[i])
+    for shards in (2, 3, 5):
+        sharded = canonical.mapped(df, "nilai", ref, "k", "n", RULES["skema"], shards=shards, group=4).collect()
+        assert len(sharded) == len(rows) and {r.id: r.ref_id for r in sharded} == got
     assert canonical.mapped(df, "nilai", ref.limit(0), "k", "n", RULES["skema"]).where("ref_id <> 0").count() == 0
     assert canonical.mapped(df.limit(0), "nilai", ref, "k", "n", RULES["skema"]).count() == 0
 
@@ -62,3 +61,37 @@ def test_typos_of_every_entry():
             at = rng.randrange(len(name))
             typo = name[:at] + rng.choice("aeiourst") + name[at + rng.randrange(2) :]
             assert matcher.match(typo)[0] == k, typo
+
+
+def test_shards_never_change_an_answer(spark):
+    """All values of the test tables, against the list and against a list with near, equal and longer entries besides."""
+    values = spark.read.parquet("/root/testdata/sf0.01/silver_penelitian.parquet")
+    for column, (name, key, label) in REFERENCES.items():
+        entries = {r[0]: r[1] for r in spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet").select(key, label).collect()}
+        more = {100 + k: n + tail for k, n in entries.items() for tail in (" Lanjut",)} | {200 + k: n.replace("a", "e", 1) for k, n in entries.items()} | {300: next(iter(entries.values()))}
+        typed = [r[0] for r in values.select(column).where(f"{column} IS NOT NULL").distinct().collect()]
+        for listed in (entries, entries | more):
+            whole = canonical.Matcher(listed, RULES[column])
+            for shards in (2, 5):
+                parts = [canonical.Matcher({k: n for k, n in listed.items() if k % shards == s}, RULES[column]) for s in range(shards)]
+                for v in typed:
+                    assert canonical.decide(v, [f for p in parts for f in p.find(v)], RULES[column]) == whole.match(v), v
+
+
+def test_rules_find_what_a_look_at_every_entry_finds():
+    draw = random.Random(5)
+    pool = ["riset", "dasar", "mandiri", "terapan", "mitra", "desa", "karya", "buku", "ajar", "rintisan", "dosen"]
+    entries = {k: " ".join(draw.sample(pool, draw.choice((1, 2, 2, 3, 4)))).title() for k in range(300)}
+    matcher = canonical.Matcher(entries, RULES["prodi"])
+    for _ in range(400):
+        name = draw.choice(list(entries.values())).lower()
+        form = draw.choice((name[: draw.randrange(1, len(name) + 1)].strip(), " ".join(w[: draw.randrange(1, len(w) + 1)] for w in name.split())))
+        words = form.split()
+
+        def fits(n):
+            parts = n.split()
+            cut = form != n and n.startswith(form) and len(form) >= 0.5 * len(n)
+            return len(form.replace(" ", "")) >= 6 and (cut or len(words) == len(parts) and all(p.startswith(w) and len(w) > 1 for w, p in zip(words, parts)))
+
+        assert matcher._prefixed(form) == {k for k, n in entries.items() if fits(n.lower())}, form
+        assert set(matcher._begun(form)) == {k for k, n in entries.items() if n.lower().startswith(form)}
