@@ -1,16 +1,16 @@
 """Variant spellings of names typed by people, linked to the entity they mean.
 
-Names become character-trigram vectors weighted by inverse document frequency. The sparse similarity join runs over index
-terms that are pairs of units of an entity: words, two neighbouring words in one, first letters. A typed unit (a word, two
-neighbouring words in one, an initial) first meets every unit of the entities' vocabulary that the word check accepts, by
-n-grams and deletion neighbourhoods; a typed name then asks for the pairs that two of its units can mean. Every pair of names
-that the check of whole names accepts has such a pair of units, so none is lost whatever its damage. Pairs whose cosine passes the threshold are checked word by word (typos, initials, nicknames, moved, merged, split
-and dropped words). Groups grow by average linkage: every entity is a cluster with its undisputed variants, clusters never
-merge, and a disputed variant joins the cluster whose members are on average most similar to it.
-
-Index terms that more than ``HOT_TERM`` entities share are split into pieces of about that many entities, and every name
-meets all pieces; no term is left out. Only the trigram weights (at most 28**3 entries) and the nicknames (a bounded list) are
-broadcast.
+Names become character-trigram vectors weighted by inverse document frequency, and a sparse similarity join gives every pair
+of a name and an entity whose cosine reaches the threshold, with no cap on partners: entities are cut into blocks of at most
+``BLOCK``, names into groups of about ``GROUP``, and a task multiplies one group with one block through the block's inverted
+index of trigrams, touching only entities that share a trigram with the name. The pairs are then checked word by word (typos,
+initials, nicknames, moved, merged, split and dropped words), best cosine first, as far as they can still rival the best one.
+
+Groups grow by average linkage: every entity is a cluster with its undisputed variants, clusters never merge, and a
+disputed variant joins the cluster whose members are on average most similar to it. The average is the product with the sum
+of the members' unit vectors, so no pairs of members are formed however large a cluster is.
+
+Only the trigram weights (at most 28**3 entries) and the nicknames (a bounded list) are broadcast.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import uuid
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +33,8 @@ from lumbung.session import cut
 COSINE = 0.38
 MAX_COST = 2.6
 DISPUTED = 0.3
-HOT_TERM = 300
-PREFIX = 7
+BLOCK = 16_384
+GROUP = 4_000
 
 # Words that stand for titles and degrees, without dots.
 TITLES = frozenset(
@@ -47,13 +49,13 @@ BARE_TITLES = frozenset(("prof", "dr", "drs", "dra", "ir", "apt", "phd", "eng"))
 SOUNDS = (("oe", "u"), ("tj", "c"), ("dj", "j"), ("nj", "ny"), ("sj", "sy"), ("ch", "kh"), ("j", "y"), ("q", "k"), ("x", "ks"), ("v", "f"), ("z", "s"))
 
 
-def words_of(name: str | None) -> tuple[str, ...]:
-    """Name words in lower-case ASCII, without titles; an inverted name is turned round."""
+def read(name: str | None) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """Name words in lower-case ASCII, an inverted name turned round, and the titles apart from them."""
     if not name:
-        return ()
-    text = unicodedata.normalize("NFKD", name.replace(" ", " "))
+        return (), ()
+    text = unicodedata.normalize("NFKD", name.replace("\u00a0", " "))
     text = "".join(c for c in text if not unicodedata.combining(c)).lower()
-    parts = []
+    parts, titles = [], set()
     for part in text.split(","):
         tokens = [t for t in re.split(r"[\s_]+", re.sub(r"[-/]", " ", part)) if t]
         kept = []
@@ -62,13 +64,18 @@ def words_of(name: str | None) -> tuple[str, ...]:
             if not plain:
                 continue
             if plain in TITLES and len(plain) > 1 and ("." in token or plain in BARE_TITLES):
+                titles.add(plain)
                 continue
             kept.append(plain)
         if kept:
             parts.append(kept)
     if len(parts) > 1:
         parts = parts[1:] + parts[:1]
-    return tuple(w for p in parts for w in p)
+    return tuple(w for p in parts for w in p), tuple(sorted(titles))
+
+
+def words_of(name: str | None) -> tuple[str, ...]:
+    return read(name)[0]
 
 
 @lru_cache(maxsize=200_000)
@@ -148,9 +155,9 @@ class Aligner:
                         return 1.5
         return None
 
-    def name(self, typed: tuple[str, ...], words: tuple[str, ...]) -> float | None:
-        """Least cost of writing the name ``words`` as ``typed``: words may move, merge, split or be left out; every typed
-        word must stand for something."""
+    def name(self, typed: tuple[str, ...], words: tuple[str, ...], limit: float = MAX_COST) -> float | None:
+        """Least cost of writing the name ``words`` as ``typed``, None above the limit: words may move, merge, split or be left
+        out; every typed word must stand for something."""
         least: float | None = None
         n = len(words)
         stack = [(0, 0, 0.0, 0)]
@@ -164,7 +171,7 @@ class Aligner:
                     if solid < 2 or left > 2 or left >= n - 1:
                         continue
                     cost += 1.4 * left
-                if least is None or cost < least:
+                if cost <= limit and (least is None or cost < least):
                     least = cost
                 continue
             t = typed[i]
@@ -173,7 +180,7 @@ class Aligner:
                 if used >> k & 1:
                     continue
                 c = self.word(t, words[k])
-                if c is not None and cost + c <= MAX_COST:
+                if c is not None and cost + c <= limit:
                     stack.append((i + 1, used | 1 << k, cost + c + (0.0 if k == place else 0.15), solid + (len(t) > 1)))
                 if len(t) > 6 and k + 1 < n and not used >> (k + 1) & 1:
                     both = words[k] + words[k + 1]
@@ -188,312 +195,179 @@ class Aligner:
         return least
 
 
-def _near(word: str, most: int) -> set[str]:
-    """The first letters of a word, as written and as heard, without up to ``most`` letters: words of at most so many edits
-    have one in common."""
-    out = level = {word[:PREFIX], sound(word)[:PREFIX]}
-    for _ in range(most):
-        level = {w[:i] + w[i + 1 :] for w in level for i in range(len(w))}
-        out = out | level
-    return out
-
-
-def _edits_of(word: str) -> int:
-    return 1 if len(word) <= 4 else 2 if len(word) <= 8 else 3
-
-
-def asked(unit: str, nicknames: dict[str, frozenset[str]]) -> list[str]:
-    """Keys by which a typed unit meets each unit that the word check accepts for it."""
-    official = nicknames.get(unit.lstrip("+"), ())
-    if unit[0] == "+":
-        return sorted({"j" + d for d in _near(unit[1:], 1)} | {"jN" + o for o in official})
-    out = {"s" + d for d in _near(unit, _edits_of(unit))} | {"sP" + unit} | {"sN" + o for o in official}
-    if len(unit) > 6:
-        bands = {(len(unit) - 2) // 5, (len(unit) + 2) // 5}
-        out |= {f"b{n}{unit[0]}{d}" for d in _near(unit, 2) for n in bands} | {"bN" + o for o in official}
-    return sorted(out)
-
-
-def offered(unit: str) -> list[str]:
-    """Keys of a unit of an entity."""
-    if unit[0] == "=":
-        both = unit[1:]
-        return sorted({f"b{len(both) // 5}{both[0]}{d}" for d in _near(both, 2)} | {"bN" + both})
-    out = {"s" + d for d in _near(unit, _edits_of(unit))} | {"j" + d for d in _near(unit, 1)} | {"sN" + unit, "jN" + unit}
-    n = len(unit)
-    short = {unit[:k] for k in range(3, n)} | {unit[-k:] for k in range(3, n)}
-    for k in range(2, n):
-        short.update(unit[:k] + unit[-m:] for m in range(1, n - k))
-        short.update(unit[:k] + end for end in ("to", "i", "o") if k + len(end) < n)
-    return sorted(out | {"sP" + x for x in short if len(x) >= 3})
-
-
-def typed_units(words: tuple[str, ...]) -> set[str]:
-    joined = {"+" + a + b for a, b in zip(words, words[1:]) if len(a) > 1}
-    return {w for w in words if len(w) > 1} | joined
-
-
-def typed_pairs(words: tuple[str, ...]) -> list[str]:
-    """For each way to join neighbouring words, the two longest units, as unit|unit; a lone unit as unit|."""
-    ways: list[list[tuple[str, ...]]] = [[()]]
-    for k, word in enumerate(words):
-        found = [(*way, word if len(word) > 1 else "*" + word) for way in ways[k]]
-        if k and len(words[k - 1]) > 1:
-            found += [(*way, "+" + words[k - 1] + word) for way in ways[k - 1]]
-        ways.append(found)
-    out = set()
-    for way in ways[-1]:
-        first = sorted(way, key=lambda u: (u[0] == "*", -len(u), u))[:2]
-        out.add("|".join(first) if len(first) > 1 else first[0] + "|")
-    return sorted(out)
-
-
-def entity_pairs(words: tuple[str, ...]) -> list[str]:
-    """Index terms of an entity: pairs of units without a common word; lone units where the rest of the name may be left out."""
-    n = len(words)
-    units = [(w, k, k) for k, w in enumerate(words)] + [("*" + w[0], k, k) for k, w in enumerate(words)]
-    units += [("=" + words[k] + words[k + 1], k, k + 1) for k in range(n - 1)]
-    out = {"|".join(sorted((x, y))) for x, _, end in units for y, start, _ in units if end < start}
-    if n == 1:
-        out |= {"|" + words[0], "|*" + words[0][0]}
-    elif n <= 3:
-        out |= {"|" + u for u, _, _ in units if u[0] == "="}
-    return sorted(out)
-
-
 @lru_cache(maxsize=200_000)
 def grams(name: str) -> tuple[str, ...]:
     padded = f" {sound(name)} "
     return tuple(sorted({padded[i : i + 3] for i in range(len(padded) - 2)}))
 
 
-class Weights:
-    """Cosines of trigram vectors weighted by inverse document frequency; one object a Python worker and broadcast."""
+class Block:
+    """Inverted index of the trigrams of some entities."""
 
-    def __init__(self, idf: dict[str, float]):
-        self.squares = {g: w * w for g, w in idf.items()}
-        self.rare = max(self.squares.values(), default=1.0)
-        self.vectors: dict[str, tuple[frozenset[str], float]] = {}
+    def __init__(self, cores: list[str], places: dict[str, int], squares: np.ndarray):
+        self.cores, self.places, self.squares = cores, places, squares
+        vectors = [self._vector(c) for c in cores]
+        sizes = [len(v) for v in vectors]
+        flat = np.concatenate(vectors) if vectors else np.zeros(0, np.int64)
+        owner = np.repeat(np.arange(len(cores), dtype=np.int64), sizes)
+        order = np.argsort(flat, kind="stable")
+        self.postings = np.split(owner[order], np.searchsorted(flat[order], np.arange(1, len(squares))))
+        self.norms = np.sqrt(np.bincount(owner, weights=squares[flat], minlength=len(cores)))
 
-    def vector(self, name: str) -> tuple[frozenset[str], float]:
-        found = self.vectors.get(name)
-        if found is None:
-            if len(self.vectors) > 100_000:
-                self.vectors.clear()
-            own = frozenset(grams(name))
-            for g in own:
-                self.squares.setdefault(g, self.rare)
-            found = self.vectors[name] = (own, math.sqrt(sum(self.squares[g] for g in own)) or 1.0)
-        return found
+    def _vector(self, core: str) -> np.ndarray:
+        return np.fromiter((self.places[g] for g in grams(core)), np.int64)
 
-    def cosine(self, a: str, b: str) -> float:
-        (x, nx), (y, ny) = self.vector(a), self.vector(b)
-        return sum(map(self.squares.__getitem__, x & y)) / (nx * ny)
+    def near(self, core: str, cosine: float = COSINE) -> list[tuple[float, str]]:
+        """Every entity of at least the cosine, the most similar first."""
+        vector = self._vector(core)
+        lists = [self.postings[g] for g in vector]
+        weights = np.repeat(self.squares[vector], [len(x) for x in lists])
+        products = np.bincount(np.concatenate(lists), weights=weights, minlength=len(self.cores))
+        norm = math.sqrt(self.squares[vector].sum())
+        hits = np.flatnonzero(products >= cosine * norm * self.norms)
+        return sorted(((products[k] / (norm * self.norms[k]), self.cores[k]) for k in hits), key=lambda x: (-x[0], x[1]))
 
 
-def _core_udf():
-    @F.pandas_udf(T.StringType())
-    def core(names: pd.Series) -> pd.Series:
-        return names.map(lambda n: " ".join(words_of(n)))
+def rivals(core: str, near: list[tuple[float, str]], align: Aligner) -> list[tuple[str, float, float]]:
+    """Entities that the word check accepts, as (entity, cosine, cost), as far as they rival the least cost."""
+    typed, limit, out = tuple(core.split()), MAX_COST, []
+    for cosine, entity in near:
+        cost = align.name(typed, tuple(entity.split()), limit)
+        if cost is not None:
+            out.append((entity, cosine, cost))
+            limit = min(limit, cost + DISPUTED)
+    return [r for r in out if r[2] <= limit]
 
-    return core
 
+_READ = T.StructType([T.StructField("core", T.StringType()), T.StructField("titles", T.StringType())])
 
-def _lists_udf(of):
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def lists(texts: pd.Series) -> pd.Series:
-        return texts.map(of)
 
-    return lists
+@F.pandas_udf(_READ)
+def _read(names: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([(" ".join(w), " ".join(t)) for w, t in map(read, names)], columns=["core", "titles"])
 
 
-def _grams_udf():
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def run(cores: pd.Series) -> pd.Series:
-        return cores.map(grams)
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _grams(cores: pd.Series) -> pd.Series:
+    return cores.map(grams)
 
-    return run
 
+_KNOWN: dict[str, tuple[dict, np.ndarray, Aligner, dict[int, Block]]] = {}
 
-_WEIGHTS: dict[int, Weights] = {}
 
+def _known(broadcast) -> tuple[dict, np.ndarray, Aligner, dict[int, Block]]:
+    """Weights, aligner and blocks of a Python worker for one run of ``link``."""
+    run, squares, nicknames = broadcast.value
+    if run not in _KNOWN:
+        _KNOWN.clear()
+        _KNOWN[run] = ({g: k for k, g in enumerate(squares)}, np.fromiter(squares.values(), float), Aligner(nicknames), {})
+    return _KNOWN[run]
 
-def _weights(broadcast) -> Weights:
-    if broadcast.value[0] not in _WEIGHTS:
-        _WEIGHTS.clear()
-        _WEIGHTS[broadcast.value[0]] = Weights(broadcast.value[1])
-    return _WEIGHTS[broadcast.value[0]]
 
+def _parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def _cosine_udf(weights):
-    @F.pandas_udf(T.DoubleType())
-    def cosine(a: pd.Series, b: pd.Series) -> pd.Series:
-        of = _weights(weights).cosine
-        return pd.Series([of(x, y) for x, y in zip(a, b)], dtype="float64")
-
-    return cosine
 
+def _joined(rest: DataFrame, known: DataFrame, shared) -> DataFrame:
+    """The similarity join: (__core, __entity_core, __cosine, __cost) of each name's rivals in each block."""
+    blocks = max(1, -(-known.count() // BLOCK))
+    groups = max(1, -(-rest.count() // GROUP))
 
-_ALIGNERS: dict[int, Aligner] = {}
+    def multiply(key: tuple, names: pd.DataFrame, entities: pd.DataFrame) -> pd.DataFrame:
+        places, squares, align, built = _known(shared)
+        if key[0] not in built:
+            built[key[0]] = Block(sorted(entities["__entity_core"]), places, squares)
+        block = built[key[0]]
+        found = [(core, *r) for core in names["__core"] for r in (rivals(core, block.near(core), align) if block.cores else ())]
+        return pd.DataFrame(found, columns=["__core", "__entity_core", "__cosine", "__cost"])
 
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    asking = rest.select("__core", F.pmod(F.xxhash64("__core"), F.lit(groups)).alias("__group"), every(blocks).alias("__block"))
+    index = known.select("__entity_core", F.pmod(F.xxhash64("__entity_core"), F.lit(blocks)).alias("__block"), every(groups).alias("__group"))
+    # An own number of partitions: the rows are small in bytes but not in work, so AQE must not join their partitions.
+    parts = max(_parts(rest), min(blocks * groups, 10_000))
+    sides = [df.repartition(parts, "__block", "__group").groupBy("__block", "__group") for df in (asking, index)]
+    return sides[0].cogroup(sides[1]).applyInPandas(multiply, "__core string, __entity_core string, __cosine double, __cost double")
 
-def _cost_udf(weights, nicknames):
-    @F.pandas_udf(T.DoubleType())
-    def cost(a: pd.Series, b: pd.Series) -> pd.Series:
-        known = _weights(weights)
-        key = weights.value[0]
-        if key not in _ALIGNERS:
-            _ALIGNERS.clear()
-            _ALIGNERS[key] = Aligner(nicknames.value)
-        align, vector, square = _ALIGNERS[key].name, known.vector, known.squares.__getitem__
-        out = []
-        last, grams_x, bar = None, frozenset(), 0.0
-        for x, y in zip(a, b):
-            if x != last:
-                grams_x, norm = vector(x)
-                last, bar = x, COSINE * norm
-            grams_y, norm_y = vector(y)
-            found = align(tuple(x.split()), tuple(y.split())) if sum(map(square, grams_x & grams_y)) >= bar * norm_y else None
-            out.append(found if found is not None and found <= MAX_COST else None)
-        return pd.Series(out, dtype="float64")
 
-    return cost.asNondeterministic()  # else the filter on it is pushed below the distinct, and it runs twice
+def _unit_vectors(rows: DataFrame, core: str, shared, *keep: str) -> DataFrame:
+    """One row a trigram: its weight in the unit vector of ``core``."""
 
+    @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("gram", T.StringType()), T.StructField("weight", T.DoubleType())])))
+    def vector(cores: pd.Series) -> pd.Series:
+        places, squares, _, _ = _known(shared)
 
-def _parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        def of(name: str) -> list[tuple[str, float]]:
+            weights = [float(squares[places[g]]) for g in grams(name)]
+            norm = math.sqrt(sum(weights)) or 1.0
+            return [(g, math.sqrt(w) / norm) for g, w in zip(grams(name), weights)]
 
+        return cores.map(of)
 
-def _plausible_udf(nicknames):
-    @F.pandas_udf(T.BooleanType())
-    def plausible(typed: pd.Series, units: pd.Series) -> pd.Series:
-        word = Aligner(nicknames.value).word
-        out = []
-        for t, u in zip(typed, units):
-            cost = word(t.lstrip("+"), u.lstrip("="))
-            out.append(cost is not None and cost < (1.2 if t[0] == "+" else 1.5 if u[0] == "=" else MAX_COST + 0.1))
-        return pd.Series(out, dtype="bool")
-
-    return plausible.asNondeterministic()  # as for the cost
-
-
-def _meant(rows: DataFrame, unit: str, out: str, matched: DataFrame) -> DataFrame:
-    """Rows with each unit of entities that ``unit`` can mean; initials and missing units mean themselves."""
-    word = F.col(unit).rlike("^[a-z+]")
-    found = rows.where(word).join(matched.select(F.col("__typed").alias(unit), F.col("__unit").alias(out)), unit).drop(unit)
-    return found.unionByName(rows.where(~word).withColumnRenamed(unit, out))
-
-
-def _terms(rest: DataFrame, known: DataFrame, nicknames) -> tuple[DataFrame, DataFrame]:
-    """Names and entities with one row an index term. Keys and terms travel as 64-bit hashes: equal hashes of other terms
-    only add pairs to check."""
-    index = known.withColumn("__term", F.explode(F.transform(_lists_udf(lambda c: entity_pairs(tuple(c.split())))("__entity_core"), lambda x: F.xxhash64(x))))
-    typed = rest.select(F.explode(_lists_udf(lambda c: sorted(typed_units(tuple(c.split()))))("__core")).alias("__typed")).distinct()
-    words = F.split("__entity_core", " ")
-    both = F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words)), lambda a, b: F.concat(F.lit("="), a, b))
-    units = known.select(F.explode(F.concat(words, both)).alias("__unit")).distinct()
-    parts = _parts(rest)
-    ask = _lists_udf(lambda u: asked(u, nicknames.value))
-    typed = typed.repartition(parts, "__typed").withColumn("__key", F.explode(F.transform(ask("__typed"), lambda x: F.xxhash64(x))))
-    units = units.repartition(parts, "__unit").withColumn("__key", F.explode(F.transform(_lists_udf(offered)("__unit"), lambda x: F.xxhash64(x))))
-    t, u = F.col("__typed"), F.col("__unit")
-    close = F.when(u.startswith("="), (F.abs(F.length(t) + 1 - F.length(u)) <= 2)).when(t.startswith("+"), F.abs(F.length(t) - 1 - F.length(u)) <= 1)
-    met = typed.join(units.hint("shuffle_hash"), "__key").where(F.coalesce(close, F.lit(True))).select("__typed", "__unit")
-    met = met.repartition(parts, "__typed").distinct()
-    matched = cut(met.where(_plausible_udf(nicknames)("__typed", "__unit")))
-    asking = rest.select("__core", F.explode(_lists_udf(lambda c: typed_pairs(tuple(c.split())))("__core")).alias("__pair"))
-    asking = cut(asking.select("__core", F.split_part("__pair", F.lit("|"), F.lit(1)).alias("__a"), F.split_part("__pair", F.lit("|"), F.lit(2)).alias("__b")))
-    asking = _meant(_meant(asking, "__a", "__x", matched), "__b", "__y", matched)
-    term = F.concat(F.least("__x", "__y"), F.lit("|"), F.greatest("__x", "__y"))
-    return asking.select("__core", F.xxhash64(term).alias("__term")).distinct(), index
-
-
-def _split(queries: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides with ``__piece``: the entities of a term that more than ``HOT_TERM`` share lie in several pieces, and a
-    name meets each of them."""
-    hot = cut(
-        index.groupBy("__term").count().where(F.col("count") > HOT_TERM).select("__term", F.ceil(F.col("count") / HOT_TERM).cast("int").alias("__pieces"))
-    )
-    pieces = F.coalesce("__pieces", F.lit(1))
-    queries = queries.join(hot, "__term", "left").withColumn("__piece", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("__pieces")
-    index = index.join(hot, "__term", "left").withColumn("__piece", F.pmod(F.xxhash64("__entity"), pieces).cast("int")).drop("__pieces")
-    return queries, index
+    return rows.select(*keep, F.inline(vector(core)))
 
 
-def _scored(queries: DataFrame, index: DataFrame, cost) -> DataFrame:
-    # The hint keeps the exploded index, whose size the planner underestimates, from being broadcast; a piece of a term is never hot.
-    # An own number of partitions: the pairs are small in bytes but not in work, so AQE must not join their partitions.
-    pairs = queries.join(index.hint("shuffle_hash"), ["__term", "__piece"]).select("__core", "__entity", "__entity_core")
-    pairs = pairs.repartition(_parts(queries), "__core").distinct()
-    return pairs.withColumn("__cost", cost("__core", "__entity_core")).where(F.col("__cost").isNotNull())
+def _linkage(disputed: DataFrame, members: DataFrame, shared) -> DataFrame:
+    """Mean cosine of each disputed name to the members of each cluster that wants it."""
+    size = members.groupBy("__entity_core").agg(F.count("*").alias("__size"))
+    centre = _unit_vectors(members, "__member", shared, "__entity_core").groupBy("__entity_core", "gram").agg(F.sum("weight").alias("__sum"))
+    asked = _unit_vectors(disputed, "__core", shared, "__core", "__entity_core", "__cost")
+    product = asked.join(centre, ["__entity_core", "gram"]).groupBy("__core", "__entity_core", "__cost").agg(F.sum(F.col("weight") * F.col("__sum")).alias("__product"))
+    return product.join(size, "__entity_core").withColumn("__linkage", F.col("__product") / F.col("__size"))
 
 
 def link(names: DataFrame, name: str, entities: DataFrame, entity: str, entity_name: str, nicknames: dict[str, frozenset[str]]) -> DataFrame:
     """Distinct ``names`` that mean an entity, as (name, entity).
 
-    ``names`` holds distinct spellings. Null, empty and title-only names and those like no entity give no row. Several
-    entities of equal name: the smallest key is taken. ``nicknames`` maps a nickname to official words.
+    ``names`` holds distinct spellings. Null, empty and title-only names and those like no entity give no row. Of several
+    entities whose names are equal but for titles, the one with the same titles is taken, else the smallest key.
+    ``nicknames`` maps a nickname to official words.
     """
     spark = names.sparkSession
-    nick = spark.sparkContext.broadcast(nicknames)
-    core = _core_udf()
-    mentioned = cut(names.where(F.col(name).isNotNull()).select(F.col(name), core(name).alias("__core")).where(F.col("__core") != ""))
-    known = cut(
-        entities.where(F.col(entity_name).isNotNull() & F.col(entity).isNotNull())
-        .select(F.col(entity).alias("__entity"), core(entity_name).alias("__entity_core"))
-        .where(F.col("__entity_core") != "")
-        .groupBy("__entity_core")
-        .agg(F.min("__entity").alias("__entity"))
-    )
+    mentioned = cut(names.where(F.col(name).isNotNull()).select(F.col(name), _read(name).alias("__r")).select(name, F.col("__r.core").alias("__core"), F.col("__r.titles").alias("__titles")).where("__core <> ''"))
+    listed = entities.where(F.col(entity_name).isNotNull() & F.col(entity).isNotNull()).select(F.col(entity).alias("__entity"), _read(entity_name).alias("__r"))
+    listed = cut(listed.select("__entity", F.col("__r.core").alias("__entity_core"), F.col("__r.titles").alias("__titles")).where("__entity_core <> ''"))
+    known = listed.groupBy("__entity_core").agg(F.min("__entity").alias("__least_entity"), F.count("*").alias("__namesakes"))
     cores = mentioned.select("__core").distinct()
-    same = cores.join(known, F.col("__core") == F.col("__entity_core")).select("__core", "__entity")
-    rest = cut(cores.join(known, F.col("__core") == F.col("__entity_core"), "left_anti").repartition(_parts(names), "__core"))
+    equal = F.col("__core") == F.col("__entity_core")
+    same = cores.join(known, equal).select("__core", "__entity_core")
+    rest = cut(cores.join(known, equal, "left_anti"))
     frequency = (
         rest.unionByName(known.select(F.col("__entity_core").alias("__core")))
-        .select(F.explode(_grams_udf()("__core")).alias("gram"))
+        .select(F.explode(_grams("__core")).alias("gram"))
         .groupBy("gram")
         .count()
+        .orderBy("gram")
         .collect()  # letters and blank only: at most 28**3 rows
     )
     n = sum(r["count"] for r in frequency)
-    weights = spark.sparkContext.broadcast((id(frequency), {r["gram"]: math.log(1 + n / (1 + r["count"])) for r in frequency}))
-    asking, index = _terms(rest, known, nick)
-    scored = cut(_scored(*_split(cut(asking), cut(index)), _cost_udf(weights, nick)))
-    best = scored.groupBy("__core").agg(F.min("__cost").alias("__least"))
-    near = scored.join(best, "__core").where(F.col("__cost") <= F.col("__least") + DISPUTED)
-    rivals = near.groupBy("__core").agg(
-        F.count("*").alias("__rivals"), F.min_by(F.struct("__entity", "__entity_core"), "__cost").alias("__first")
-    )
-    sure = rivals.where("__rivals = 1").select("__core", F.col("__first.__entity").alias("__entity"))
-    # Average linkage of disputed names to the clusters that want them.
-    disputed = near.join(rivals.where("__rivals > 1").select("__core"), "__core").select("__core", "__entity", "__cost")
-    wanted = disputed.select("__entity").distinct()
-    members = (
-        sure.unionByName(same)
-        .select(F.col("__core").alias("__member"), "__entity")
-        .unionByName(known.select(F.col("__entity_core").alias("__member"), "__entity"))
-        .join(wanted, "__entity", "left_semi")
-        .distinct()
-    )
-    linkage = (
-        disputed.join(members, "__entity")
-        .groupBy("__core", "__entity")
-        .agg(F.avg(_cosine_udf(weights)("__core", "__member")).alias("__linkage"), F.first("__cost").alias("__cost"))
-    )
-    settled = linkage.groupBy("__core").agg(
-        F.max_by("__entity", F.struct(F.col("__linkage") - 0.2 * F.col("__cost"), -F.col("__entity"))).alias("__entity")
-    )
+    squares = {r["gram"]: math.log(1 + n / (1 + r["count"])) ** 2 for r in frequency}
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, squares, nicknames))
+    scored = cut(_joined(rest, known.select("__entity_core"), shared))
+    best = scored.groupBy("__core").agg(F.min("__cost").alias("__cheapest"))
+    near = scored.join(best, "__core").where(F.col("__cost") <= F.col("__cheapest") + DISPUTED)
+    wanting = near.groupBy("__core").agg(F.count("*").alias("__rivals"), F.first("__entity_core").alias("__entity_core"))
+    sure = wanting.where("__rivals = 1").select("__core", "__entity_core")
+    disputed = near.join(wanting.where("__rivals > 1").select("__core"), "__core").select("__core", "__entity_core", "__cost")
+    own = F.col("__entity_core").alias("__member")
+    members = sure.unionByName(same).select(F.col("__core").alias("__member"), "__entity_core").unionByName(known.select(own, "__entity_core"))
+    members = members.join(disputed.select("__entity_core").distinct(), "__entity_core", "left_semi").distinct()
+    linkage = _linkage(disputed, members, shared)
+    settled = linkage.groupBy("__core").agg(F.min_by("__entity_core", F.struct(0.2 * F.col("__cost") - F.col("__linkage"), F.col("__entity_core"))).alias("__entity_core"))
     linked = same.unionByName(sure).unionByName(settled)
-    return mentioned.join(linked, "__core").select(name, F.col("__entity").alias(entity))
+    titled = listed.join(known.where("__namesakes > 1").select("__entity_core"), "__entity_core", "left_semi")
+    titled = titled.groupBy("__entity_core", "__titles").agg(F.min("__entity").alias("__titled"))
+    out = mentioned.join(linked, "__core").join(known, "__entity_core").join(titled, ["__entity_core", "__titles"], "left")
+    return out.select(name, F.coalesce("__titled", "__least_entity").alias(entity))
 
 
 def mentions_linked(mentions: DataFrame, name: str, entities: DataFrame, entity: str, entity_name: str, nicknames) -> DataFrame:
     """Rows of ``mentions`` that mean an entity but write its name otherwise, with the entity's key.
 
-    Equal spellings are linked once; the rows of spellings that hold more than a hundredth of all rows never shuffle.
+    A mention written exactly as an entity is named means that one and gives no row. Equal spellings are linked once; the rows
+    of spellings that hold more than a hundredth of all rows never shuffle.
     """
     counted = cut(mentions.where(F.col(name).isNotNull()).groupBy(name).count())
-    own = entities.select(F.col(entity), F.col(entity_name).alias("__name"))
-    linked = link(counted.select(name), name, entities, entity, entity_name, nicknames)
-    linked = linked.join(own, entity).where(F.col("__name") != F.col(name)).groupBy(name).agg(F.min(entity).alias(entity))
+    exact = entities.where(F.col(entity_name).isNotNull()).select(F.col(entity_name).alias(name)).distinct()
+    linked = link(counted.select(name), name, entities, entity, entity_name, nicknames).join(exact, name, "left_anti")
     return lookup(mentions.where(F.col(name).isNotNull()), linked, name, hot_keys(counted, name))

@@ -1,4 +1,9 @@
+import itertools
+import math
 import random
+from collections import Counter
+
+import numpy as np
 
 from lumbung.llm import variants
 
@@ -37,53 +42,82 @@ def test_links(spark):
         assert variants.mentions_linked(a, "ditulis", b, "k", "orang", {}).count() == 0
 
 
-def test_terms_kept_from_many_entities_come_in_the_second_pass(spark, monkeypatch):
-    monkeypatch.setattr(variants, "HOT_TERM", 1)
-    entities = spark.createDataFrame([(i, f"Sari Dewi {w}") for i, w in enumerate(["Lestari", "Kusuma", "Pratama"])], "k int, orang string")
-    mentions = spark.createDataFrame([(1, "Sari Dewi Lestri"), (2, "Sari D. Kusuma"), (3, "Sari Dewi Pratma")], "id int, ditulis string")
-    got = sorted((r.id, r.k) for r in variants.mentions_linked(mentions, "ditulis", entities, "k", "orang", {}).collect())
-    assert got == [(1, 0), (2, 1), (3, 2)]
+def brute(typed, names):
+    """Cosine of every pair, from the definition."""
+    every = [set(variants.grams(n)) for n in (*typed, *names)]
+    count = Counter(g for v in every for g in v)
+    n = sum(count.values())
+    weight = {g: math.log(1 + n / (1 + k)) for g, k in count.items()}
+    norm = lambda v: math.sqrt(sum(weight[g] ** 2 for g in v))
+    vectors = {x: set(variants.grams(x)) for x in (*typed, *names)}
+    return weight, {(a, b): sum(weight[g] ** 2 for g in vectors[a] & vectors[b]) / (norm(vectors[a]) * norm(vectors[b])) for a in typed for b in names}
 
 
-def test_terms_of_many_entities_count_for_names_that_rarer_terms_link_already(spark, monkeypatch):
-    monkeypatch.setattr(variants, "HOT_TERM", 1)
-    # Entity 3 (cost 2.55) alone has the terms of 'lestri'; the better entity 1 (0.7) shares all of its terms.
-    people = [(1, "Sari Dewi Lestari"), (2, "Sari Dewi Lestarini"), (3, "Lestri Sari Kusuma Dewa"), (4, "Sari Lestri")]
-    typed = ["Sari Dewi Lestri", "Sari Dewi Lestrini"]
-    entities = spark.createDataFrame(people, "k int, orang string")
-    mentions = spark.createDataFrame(list(enumerate(typed)), "id int, ditulis string")
-    got = {(r.id, r.k) for r in variants.mentions_linked(mentions, "ditulis", entities, "k", "orang", {}).collect()}
-    monkeypatch.setattr(variants, "HOT_TERM", 10**9)
-    whole = {(r.id, r.k) for r in variants.mentions_linked(mentions, "ditulis", entities, "k", "orang", {}).collect()}
-    assert got == whole == {(0, 1), (1, 2)}
-
-
-def test_index_terms_lose_no_pair_that_the_check_accepts(spark):
-    draw = random.Random(4)
-    pool = ["dewi", "sari", "lestari", "kusuma", "anwar", "budiman", "dewantara", "muhammad", "ayu", "m", "putri", "dwi", "wijayakusuma", "tjokro", "rahmawati"]
-    names = sorted({" ".join(draw.sample(pool, draw.choice((1, 2, 2, 3, 3, 4)))) for _ in range(120)} | {"dewi lestari"})
-
-    def damaged(name):
-        words = name.split()
-        for _ in range(draw.choice((1, 1, 2, 3))):
-            k = draw.randrange(len(words))
-            w, i = words[k], draw.randrange(len(words[k]))
-            words[k] = draw.choice((w[:i] + w[i + 1 :], w[:i] + w[i + 1 : i + 2] + w[i] + w[i + 2 :], w[:i] + "e" + w[i:], w[:i] + "u" + w[i + 1 :],
-                                    w[0], w[:4], w[-4:], w[:3] + "to", w[:2] + w[-2:], w[:i] + " " + w[i:], w.replace("c", "tj"), "budi")).strip() or w
-        words = " ".join(words).split()
-        if draw.random() < 0.3 and len(words) > 1:
-            k = draw.randrange(len(words) - 1)
-            words[k : k + 2] = [words[k] + words[k + 1]]
-        if draw.random() < 0.2:
-            draw.shuffle(words)
-        return " ".join(words)
-
-    typed = sorted({damaged(draw.choice(names)) for _ in range(1500)} | {"dwei lestri"})
+POOL = ["dewi", "sari", "lestari", "kusuma", "anwar", "budiman", "dewantara", "muhammad", "ayu", "m", "putri", "dwi", "wijayakusuma", "tjokro", "rahmawati"]
+
+
+def test_join_gives_every_pair_of_the_threshold(spark, monkeypatch):
+    """All pairs of the cosine threshold, in any number of blocks and groups, and the same rivals as a look at every pair."""
+    draw = random.Random(6)
+    names = sorted({" ".join(draw.sample(POOL, draw.choice((1, 2, 2, 3, 3, 4)))) for _ in range(150)})
+    typed = sorted({w[: draw.randrange(3, 30)].strip() + draw.choice(("", "x", " ay")) for w in names} - set(names))
+    weight, cosines = brute(typed, names)
+    squares = {g: w * w for g, w in sorted(weight.items())}
+    block = variants.Block(names, {g: k for k, g in enumerate(squares)}, np.array(list(squares.values())))
+    want = {pair for pair, c in cosines.items() if c >= variants.COSINE + 1e-9}
+    got = {(t, n): c for t in typed for c, n in block.near(t)}
+    assert len(want) > 300 and want <= set(got) and all(abs(cosines[p] - c) < 1e-9 for p, c in got.items()) and min(got.values()) >= variants.COSINE - 1e-9
+    align = variants.Aligner(NICK).name
+    costs = {p: c for p in got if (c := align(tuple(p[0].split()), tuple(p[1].split()))) is not None}
+    least = {t: min((c for (a, _), c in costs.items() if a == t), default=None) for t in typed}
+    near = {p for p, c in costs.items() if c <= least[p[0]] + variants.DISPUTED + 1e-9}
+    shared = spark.sparkContext.broadcast(("test", squares, NICK))
+    rest = spark.createDataFrame([(t,) for t in typed], "__core string")
+    known = spark.createDataFrame([(n,) for n in names], "__entity_core string")
+    for size in (10_000, 40):
+        monkeypatch.setattr(variants, "BLOCK", size)
+        monkeypatch.setattr(variants, "GROUP", size)
+        rows = variants._joined(rest, known, shared).collect()
+        met = {(r[0], r[1]) for r in rows if r[3] <= least[r[0]] + variants.DISPUTED + 1e-9}
+        assert met == near
+
+
+def test_limit_of_the_check_changes_no_cost():
+    draw = random.Random(7)
     align = variants.Aligner(NICK).name
-    costs = {(t, n): align(tuple(t.split()), tuple(n.split())) for t in typed for n in names}
-    want = {pair for pair, c in costs.items() if c is not None and c <= variants.MAX_COST}
-    known = spark.createDataFrame(list(enumerate(names)), "__entity int, __entity_core string")
-    asking, index = variants._terms(spark.createDataFrame([(t,) for t in typed], "__core string"), known, spark.sparkContext.broadcast(NICK))
-    met = {tuple(r) for r in asking.join(index, "__term").select("__core", "__entity_core").distinct().collect()}
-    assert ("dwei lestri", "dewi lestari") in met
-    assert len(want) > 1000 and not want - met, sorted(want - met)[:9]
+    for _ in range(3000):
+        a, b = (tuple(draw.sample(POOL, draw.choice((1, 2, 3)))) for _ in range(2))
+        a = tuple(w[: draw.randrange(1, len(w) + 1)] for w in a)
+        whole, limit = align(a, b), draw.choice((0.3, 0.9, 1.5, 2.6))
+        assert align(a, b, limit) == (whole if whole is not None and whole <= limit else None), (a, b, limit)
+
+
+def test_links_do_not_depend_on_how_many_entities_share_a_word(spark):
+    """The same three names among 3 and among 1,003 entities of which a thousand share two of their words."""
+    people = [(i, f"Sari Dewi {w}") for i, w in enumerate(["Lestari", "Kusuma", "Pratama"])]
+    crowd = [(1000 + i, f"Sari Dewi {a}{b}{c}") for i, (a, b, c) in enumerate(itertools.product(["bo", "ga", "ti", "mu", "zo", "he", "pa", "ri", "nu", "we"], repeat=3))]
+    mentions = spark.createDataFrame([(1, "Sari Dewi Lestri"), (2, "Sari D. Kusuma"), (3, "Sari Dewi Pratma"), (4, "Dwei Kusuma Sari")], "id int, ditulis string")
+    for rows in (people, people + crowd):
+        entities = spark.createDataFrame(rows, "k int, orang string")
+        got = sorted((r.id, r.k) for r in variants.mentions_linked(mentions, "ditulis", entities, "k", "orang", {}).collect())
+        assert got == [(1, 0), (2, 1), (3, 2), (4, 1)]
+
+
+def test_namesakes_are_told_by_their_titles(spark):
+    entities = spark.createDataFrame([(1, "Sari Dewi Lestari"), (2, "Prof. Sari Dewi Lestari"), (3, "Drs. Sari Dewi Lestari")], "k int, orang string")
+    typed = ["Sari Dewi Lestari", "Prof Sari Dewi Lestari", "PROF. Sari D Lestari", "Drs. Sari Dewi Lestri", "Sari Dewi Lestri", "Ir. Sari Dewi Lestari"]
+    mentions = spark.createDataFrame(list(enumerate(typed)), "id int, ditulis string")
+    got = sorted((r.id, r.k) for r in variants.mentions_linked(mentions, "ditulis", entities, "k", "orang", {}).collect())
+    assert got == [(1, 2), (2, 2), (3, 3), (4, 1), (5, 1)]
+
+
+def test_average_linkage_is_the_mean_cosine_to_all_members(spark):
+    names = ["sari dewi lestari", "sari dewi kusuma", "sari d lestari", "sari dewi lestri", "sari dwi kusuma", "s dewi kusuma"]
+    weight, cosines = brute(names, names)
+    shared = spark.sparkContext.broadcast(("mean", {g: w * w for g, w in sorted(weight.items())}, {}))
+    clusters = {names[0]: [names[0], names[2], names[3]], names[1]: [names[1], names[4]]}
+    members = spark.createDataFrame([(m, c) for c, ms in clusters.items() for m in ms], "__member string, __entity_core string")
+    disputed = spark.createDataFrame([(names[5], c, 1.0) for c in clusters], "__core string, __entity_core string, __cost double")
+    got = {r["__entity_core"]: r["__linkage"] for r in variants._linkage(disputed, members, shared).collect()}
+    for c, ms in clusters.items():
+        assert abs(got[c] - sum(cosines[names[5], m] for m in ms) / len(ms)) < 1e-9
