@@ -19,13 +19,15 @@ import math
 import re
 import unicodedata
 import uuid
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from lumbung.operators.skew import hot_keys, lookup
 from lumbung.session import cut
@@ -33,7 +35,7 @@ from lumbung.session import cut
 COSINE = 0.38
 MAX_COST = 2.6
 DISPUTED = 0.3
-BLOCK = 16_384
+BLOCK = 32_768
 GROUP = 4_000
 
 # Words that stand for titles and degrees, without dots.
@@ -114,6 +116,18 @@ def _odd_letters(a: str, b: str) -> int:
     return max(extra, len(rest))
 
 
+@lru_cache(maxsize=500_000)
+def _letters(word: str) -> int:
+    """The letters of a word as bits."""
+    return reduce(or_, (1 << (ord(c) & 31) for c in word), 0)
+
+
+def _may_be_within(a: str, b: str, most: int) -> bool:
+    """False only for words of more edits: first by the letters that occur in one alone, then by how often."""
+    x, y = _letters(a), _letters(b)
+    return (x & ~y).bit_count() <= most and (y & ~x).bit_count() <= most and _odd_letters(a, b) <= most
+
+
 class Aligner:
     """Least cost of writing one name as another, word by word; remembers the costs of pairs of words."""
 
@@ -144,7 +158,7 @@ class Aligner:
         if long - short <= 2:
             most = 1 if short <= 4 else 2 if short <= 8 else 3
             for a, b in ((heard, meant), (typed, word)):
-                if _odd_letters(a, b) <= most and (d := edits(a, b)) <= most:
+                if _may_be_within(a, b, most) and (d := edits(a, b)) <= most:
                     return 0.7 * min(d, edits(typed, word))
         if 3 <= len(typed) < len(word):
             if word.startswith(typed) or word.endswith(typed):
@@ -327,7 +341,7 @@ def link(names: DataFrame, name: str, entities: DataFrame, entity: str, entity_n
     mentioned = cut(names.where(F.col(name).isNotNull()).select(F.col(name), _read(name).alias("__r")).select(name, F.col("__r.core").alias("__core"), F.col("__r.titles").alias("__titles")).where("__core <> ''"))
     listed = entities.where(F.col(entity_name).isNotNull() & F.col(entity).isNotNull()).select(F.col(entity).alias("__entity"), _read(entity_name).alias("__r"))
     listed = cut(listed.select("__entity", F.col("__r.core").alias("__entity_core"), F.col("__r.titles").alias("__titles")).where("__entity_core <> ''"))
-    known = listed.groupBy("__entity_core").agg(F.min("__entity").alias("__least_entity"), F.count("*").alias("__namesakes"))
+    known = cut(listed.groupBy("__entity_core").agg(F.min("__entity").alias("__least_entity"), F.count("*").alias("__namesakes")))
     cores = mentioned.select("__core").distinct()
     equal = F.col("__core") == F.col("__entity_core")
     same = cores.join(known, equal).select("__core", "__entity_core")
@@ -343,22 +357,25 @@ def link(names: DataFrame, name: str, entities: DataFrame, entity: str, entity_n
     n = sum(r["count"] for r in frequency)
     squares = {r["gram"]: math.log(1 + n / (1 + r["count"])) ** 2 for r in frequency}
     shared = spark.sparkContext.broadcast((uuid.uuid4().hex, squares, nicknames))
-    scored = cut(_joined(rest, known.select("__entity_core"), shared))
-    best = scored.groupBy("__core").agg(F.min("__cost").alias("__cheapest"))
-    near = scored.join(best, "__core").where(F.col("__cost") <= F.col("__cheapest") + DISPUTED)
-    wanting = near.groupBy("__core").agg(F.count("*").alias("__rivals"), F.first("__entity_core").alias("__entity_core"))
-    sure = wanting.where("__rivals = 1").select("__core", "__entity_core")
-    disputed = near.join(wanting.where("__rivals > 1").select("__core"), "__core").select("__core", "__entity_core", "__cost")
+    scored = _joined(rest, known.select("__entity_core"), shared)
+    # A name's rivals of all blocks; they are few, since each costs hardly more than the least.
+    every = Window.partitionBy("__core")
+    near = scored.withColumn("__cheapest", F.min("__cost").over(every)).where(F.col("__cost") <= F.col("__cheapest") + DISPUTED)
+    near = cut(near.withColumn("__rivals", F.count("*").over(every)))
+    sure = near.where("__rivals = 1").select("__core", "__entity_core")
+    disputed = near.where("__rivals > 1").select("__core", "__entity_core", "__cost")
     own = F.col("__entity_core").alias("__member")
     members = sure.unionByName(same).select(F.col("__core").alias("__member"), "__entity_core").unionByName(known.select(own, "__entity_core"))
     members = members.join(disputed.select("__entity_core").distinct(), "__entity_core", "left_semi").distinct()
     linkage = _linkage(disputed, members, shared)
     settled = linkage.groupBy("__core").agg(F.min_by("__entity_core", F.struct(0.2 * F.col("__cost") - F.col("__linkage"), F.col("__entity_core"))).alias("__entity_core"))
     linked = same.unionByName(sure).unionByName(settled)
+    out = mentioned.join(linked, "__core").join(known, "__entity_core")
+    if not known.where("__namesakes > 1").head(1):
+        return out.select(name, F.col("__least_entity").alias(entity))
     titled = listed.join(known.where("__namesakes > 1").select("__entity_core"), "__entity_core", "left_semi")
     titled = titled.groupBy("__entity_core", "__titles").agg(F.min("__entity").alias("__titled"))
-    out = mentioned.join(linked, "__core").join(known, "__entity_core").join(titled, ["__entity_core", "__titles"], "left")
-    return out.select(name, F.coalesce("__titled", "__least_entity").alias(entity))
+    return out.join(titled, ["__entity_core", "__titles"], "left").select(name, F.coalesce("__titled", "__least_entity").alias(entity))
 
 
 def mentions_linked(mentions: DataFrame, name: str, entities: DataFrame, entity: str, entity_name: str, nicknames) -> DataFrame:
