@@ -241,11 +241,12 @@ class Matcher:
         if value not in self.known:
             if len(self.known) > 200_000:
                 self.known.clear()
-            self.known[value] = decide(value, self.find(value), self.rules)
+            self.known[value] = decide(value, self.find(value, whole=True), self.rules)
         return self.known[value]
 
-    def find(self, value: str) -> list[Found]:
-        """What each rule finds here, at most the best two entries of each rule and form."""
+    def find(self, value: str, whole: bool = False) -> list[Found]:
+        """What each rule finds here, at most the best two entries of each rule and form. Where the matcher holds the whole list,
+        the rules that come after the deciding one are left out."""
         out: list[Found] = []
 
         def add(rule: str, form: int, costs: dict[int, float]) -> None:
@@ -266,9 +267,14 @@ class Matcher:
                     for k in self.ids[key]:
                         near[k] = min(cost, near.get(k, 9.0))
         add("near", 0, near)
+        if whole and len(sure := [f for f in out if f.rule == "near" and f.cost == 0]) == 1 and not numbered:
+            return sure
         for at, form in enumerate(forms):
             if len(form) >= 8:
                 add("begun", at, dict.fromkeys(self._begun(form, 2), 0.5))
+        if whole and decide(value, out, self.rules)[0] != NONE:
+            return out
+        for at, form in enumerate(forms):
             add("short", at, dict.fromkeys(self.short.get(form.replace(" ", ""), ()), 0.5))
             hits = self._prefixed(form)
             add("prefix", at, dict.fromkeys(hits, 0.5))
