@@ -225,6 +225,109 @@ def hidden_partitions(spark, sf):
     return t.read(where=[("o_orderdate", ">=", datetime(1998, 1, 1)), ("o_orderdate", "<", datetime(1998, 2, 1))])
 
 
+@query(_O + " UNION ALL " + _O + " WHERE o_orderstatus = 'P'")
+def append_partitioned(spark, sf):
+    """Rows appended to a table that is partitioned by months and by status."""
+    t = Store(spark, scratch(spark, "orders")).table("silver.orders")
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    t.create_or_replace(rows, [("o_orderdate", "years"), ("o_orderstatus", "identity")])
+    t.append(rows.where("o_orderstatus = 'P'"))
+    return t.read()
+
+
+@query(_O + " WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1998-02-01'")
+def hourly_partitions(spark, sf):
+    """Days first, hours for the rows appended after the partitioning changed."""
+    from datetime import datetime
+
+    t = Store(spark, scratch(spark, "orders")).table("silver.orders")
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate").where("o_orderdate >= '1997-12-15' AND o_orderdate < '1998-02-15'")
+    t.create_or_replace(rows.where("o_orderkey % 2 = 0"), [("o_orderdate", "days")])
+    t.drop_partition_field("o_orderdate", "days")
+    t.add_partition_field("o_orderdate", "hours")
+    t.append(rows.where("o_orderkey % 2 = 1"))
+    return t.read(where=[("o_orderdate", ">=", datetime(1998, 1, 1)), ("o_orderdate", "<", datetime(1998, 2, 1))])
+
+
+@query("SELECT CAST(count(DISTINCT year(o_orderdate)) AS BIGINT) AS semua, CAST(1 AS BIGINT) AS dibaca FROM orders")
+def pruned_files(spark, sf):
+    """Files of a table partitioned by years, and those that a condition on one year reads."""
+    from datetime import datetime
+
+    t = Store(spark, scratch(spark, "orders")).table("silver.orders")
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    t.create_or_replace(rows.repartition(F.year("o_orderdate")), [("o_orderdate", "years")])
+    one = t.read(where=[("o_orderdate", ">=", datetime(1995, 1, 1)), ("o_orderdate", "<", datetime(1995, 12, 31))]).select(F.input_file_name().alias("f"))
+    return t.data_files().agg(F.count("*").alias("semua")).crossJoin(one.agg(F.countDistinct("f").alias("dibaca")))  # one row each
+
+
+@query("SELECT 32 AS sebelum, 4 AS sesudah, count(*) AS baris FROM orders")
+def compact_files(spark, sf):
+    """Files of four partitions before and after compaction."""
+    t = Store(spark, scratch(spark, "orders")).table("silver.orders")
+    rows = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 4).alias("k"), "o_totalprice")
+    t.create_or_replace(rows.repartition(8, F.rand(7)), [("k", "identity")])
+    before = t.data_files().count()
+    t.rewrite_data_files()
+    return t.read().agg(F.lit(before).cast("int").alias("sebelum"), F.lit(t.data_files().count()).cast("int").alias("sesudah"), F.count("*").alias("baris"))
+
+
+@query("SELECT * FROM (VALUES ('belum', 5), ('dipakai', 1)) v(kelompok, direktori)")
+def expire_keeps_uncommitted(spark, sf):
+    """Directories after expiry: those that snapshots use, and that of a writer that has not committed (by its files)."""
+    t = _orders(spark, sf)
+    t.overwrite(t.read().where("o_orderstatus = 'P'"))
+    running = t._meta()
+    made = t._write(running, t._aligned(running, t.read().repartition(5, "o_orderkey"), False), 77)
+    t.expire_snapshots(retain_last=1)
+    files = [f["path"] for f in t.files.walk(f"{t.path}/data") if f["name"].endswith(".parquet")]
+    used = {p.rsplit("/", 2)[1] for p in files if f"/{made['dir']}/" not in p}
+    return spark.createDataFrame([("belum", sum(f"/{made['dir']}/" in p for p in files)), ("dipakai", len(used))], "kelompok string, direktori int")
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders WHERE o_orderkey % 5 > 0")
+def time_travel_schema(spark, sf):
+    """A snapshot read after its columns were dropped and renamed."""
+    t = _orders(spark, sf)
+    t.delete("o_orderkey % 5 = 0")
+    old = t._meta().refs["main"]
+    t.drop_column("o_orderstatus")
+    t.rename_column("o_custkey", "pelanggan")
+    t.overwrite(t.read().limit(1))
+    return t.read(old)
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders UNION ALL SELECT o_orderkey, o_custkey, NULL, o_totalprice, NULL FROM orders WHERE o_orderkey % 7 = 0")
+def added_files(spark, sf):
+    """Files written elsewhere, with fewer columns in another order, added as they are."""
+    t = _orders(spark, sf)
+    folder = scratch(spark, "luar")
+    table(spark, sf, "orders").where("o_orderkey % 7 = 0").select("o_totalprice", "o_custkey", "o_orderkey").write.parquet(folder)
+    t.add_files([folder])
+    return t.read()
+
+
+@query("SELECT 'main' AS name, 'BRANCH' AS type, 2 AS berkas UNION ALL SELECT 'audit', 'BRANCH', 3")
+def refs_and_files(spark, sf):
+    """Branches with the number of their data files, from the metadata frames."""
+    t = Store(spark, scratch(spark, "orders")).table("silver.orders")
+    rows = table(spark, sf, "orders").select("o_orderkey").repartition(2, "o_orderkey")
+    t.create_or_replace(rows)
+    t.create_branch("audit")
+    t.append(rows.where("o_orderkey % 3 = 0").coalesce(1), branch="audit")
+    counts = spark.createDataFrame([(r.name, t.data_files(r.name).count()) for r in t.refs().collect()], "name string, berkas int")
+    return t.refs().join(counts, "name").select("name", "type", "berkas")
+
+
+@query("SELECT c_nationkey AS negara, count(*) AS baris FROM customer GROUP BY c_nationkey")
+def partition_rows(spark, sf):
+    """Rows by partition value, from the table's hidden partitions."""
+    t = Store(spark, scratch(spark, "customer")).table("silver.customer")
+    t.create_or_replace(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), [("c_nationkey", "identity")])
+    found = t.partitions().select(F.col("partition").cast("int").alias("negara"))
+    return found.join(t.read(), F.col("negara") == F.col("c_nationkey")).groupBy("negara").agg(F.count("*").alias("baris"))
+
+
 @query("SELECT 'append' AS operation, 3 AS snapshots, true AS current UNION ALL SELECT 'delete', 3, true UNION ALL SELECT 'overwrite', 3, true")
 def snapshot_log(spark, sf):
     t = _orders(spark, sf)
