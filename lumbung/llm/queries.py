@@ -114,10 +114,9 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for column, (name, key, label) in REFERENCES.items():
         reference = table(spark, sf_dir, name).select(key, label)
-        entered = rows.select("id", F.lit(column).alias("kolom"), F.col(column).alias("nilai"))
-        entered = entered.where(F.trim(F.regexp_replace("nilai", r"\s", " ")) != "")
+        entered = rows.select("id", F.col(column).alias("nilai")).where(F.trim(F.regexp_replace(column, r"\s", " ")) != "")
         # An own number of partitions: the values are small in bytes but not in work, so AQE must not join their partitions.
-        entered = entered.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id", "kolom", "nilai").distinct()
+        entered = entered.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id", "nilai").distinct().withColumn("kolom", F.lit(column))
         own = reference.select(F.col(label).alias("nilai")).distinct()
         free = entered.join(own, "nilai", "left_anti")  # broadcast only if the planner measures it small
         parts.append(canonical.mapped(free, "nilai", reference, key, label, RULES[column]).select("id", "kolom", "ref_id"))
