@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from lumbung.operators.profile import mask
 from lumbung.session import cut
 
 WHOLE, POINT, STRING, BOOLEAN, OBJECT, ARRAY = TAGS = ("bulat", "desimal", "string", "boolean", "objek", "larik")
@@ -89,45 +90,77 @@ def headers(raw: DataFrame, file: str, record: str) -> DataFrame:
     return counted.withColumn("tipe", kind)
 
 
-def by_values(raw: DataFrame, known: DataFrame, record: str, layout: Layout) -> DataFrame:
-    """Columns meant by headers of unknown name, from their values: (header, kolom).
+def shape(text: Column) -> Column:
+    """How a value is built: digits and closing zeros of a number, else its mask without the number of words and digits, and
+    the magnitude of its length."""
+    whole = F.regexp_extract(text, r"^([0-9]+)(\.[0-9]+)?$", 1)
+    zeros = F.least(F.lit(4), F.length(F.regexp_extract(whole, "(0*)$", 1)))
+    number = F.concat(F.lit("#"), F.length(whole).cast("string"), F.lit("z"), zeros.cast("string"))
+    words = F.regexp_replace(F.regexp_replace(mask(text), r"A(?:[ .'-]*A)*", "A"), "9+", "9")
+    return F.when(whole != "", number).otherwise(F.concat(F.substring(words, 1, 24), F.lit("|"), F.floor(F.log2(F.length(text))).cast("string")))
 
-    A header means the column most of whose known distinct string values it repeats, if at least ``layout.overlap`` of its own (and three) are
-    among them. ``known`` has (header, kolom or null) for every header.
+
+def by_values(raw: DataFrame, seen: DataFrame, file: str, record: str, layout: Layout) -> DataFrame:
+    """Columns meant by headers of unknown name, from their values: (header, kolom, nilai).
+
+    ``seen`` has the headers of each file with ``__named``, the column of a known name or null. A header can only mean a column
+    that none of its files has by name. It means it if its values are the column's: most are (``layout.overlap``, at least
+    three); or as many as the column's own files share among one another (half of that, where files share values at all),
+    and both are built alike; or, for columns whose files share hardly any value, both are built nearly alike. The
+    best of several columns is taken.
     """
-    named = known.where(F.col("kolom").isNotNull())
-    unnamed = known.where(F.col("kolom").isNull())
-    if not unnamed.head(1):
-        return unnamed.select("header", "kolom")
-    cells = raw.select(F.explode(record_map(F.col(record))).alias("header", "nilai"))
-    texts = cells.where(F.schema_of_variant("nilai") == "STRING").select("header", F.lower(F.trim(F.try_variant_get("nilai", "$", "string"))).alias("teks"))
-    texts = texts.where(F.length("teks") > 2).distinct()
-    own = texts.join(unnamed.select("header"), "header")
-    total = own.groupBy("header").agg(F.count("*").alias("semua"))
-    columns = texts.join(named, "header").select("kolom", "teks").distinct()
-    shared = own.join(columns, "teks").groupBy("header", "kolom").agg(F.count("*").alias("sama")).join(total, "header")
-    good = shared.where((F.col("sama") >= 3) & (F.col("sama") >= layout.overlap * F.col("semua")))
-    return good.groupBy("header").agg(F.max_by("kolom", F.struct("sama", "kolom")).alias("kolom"))
+    known = seen.select("header", F.col("__named").alias("kolom")).distinct()
+    if not known.where(F.col("kolom").isNull()).head(1):
+        return known.limit(0).withColumn("nilai", F.lit(0.0))
+    cells = raw.select(F.col(file).alias("__file"), F.explode(record_map(F.col(record))).alias("header", "__v"))
+    parts = F.when(tag(F.col("__v")) == ARRAY, F.try_variant_get("__v", "$", "array<string>")).otherwise(F.array(cell(F.col("__v"))["kanon"]))
+    texts = cells.select("__file", "header", F.explode(parts).alias("t")).select("__file", "header", F.lower(F.trim(amount(F.col("t")))).alias("t")).where("t <> ''")
+    label, is_known = F.coalesce("kolom", "header").alias("label"), F.col("kolom").isNotNull().alias("known")
+    pieces = texts.distinct().join(known, "header").select("__file", "t", label, is_known).distinct()
+    pieces = cut(pieces.groupBy("known", "label", "t").agg(F.count("*").alias("n")))
+    # A value's labels are columns and headers: a bounded list, whatever the number of rows.
+    met = pieces.groupBy("t").agg(F.collect_list(F.struct("known", "label", "n")).alias("all"))
+    met = met.select(F.explode("all").alias("a"), F.filter("all", lambda x: x["known"]).alias("columns"))
+    pairs = met.select("a", F.explode("columns").alias("b")).where(~F.col("a.known") | (F.col("a.label") == F.col("b.label")))
+    often = F.when(F.col("a.known"), F.when(F.col("a.n") > 1, F.col("a.n")).otherwise(0)).otherwise(F.col("a.n"))
+    shared = pairs.groupBy(F.col("a.known").alias("known"), F.col("a.label").alias("label"), F.col("b.label").alias("column")).agg(F.sum(often).alias("shared"), F.count("*").alias("values"))
+    total = pieces.groupBy("known", "label").agg(F.sum("n").alias("total"))
+    shared = shared.join(total, ["known", "label"]).withColumn("share", F.col("shared") / F.col("total"))
+    built = pieces.groupBy("known", "label", shape(F.col("t")).alias("shape")).agg(F.sum("n").alias("n")).join(total, ["known", "label"])
+    built = built.withColumn("p", F.col("n") / F.col("total"))
+    of = lambda known, name: built.where("known" if known else "NOT known").select("shape", F.col("label").alias(name), F.col("p").alias(f"p_{name}"), F.col("total").alias(f"total_{name}"))
+    alike = of(False, "header").join(of(True, "kolom"), "shape").groupBy("header", "kolom", "total_header").agg(F.sum(F.least("p_header", "p_kolom")).alias("alike"))
+    own = shared.where("known").select(F.col("label").alias("kolom"), F.col("share").alias("self"))
+    values = shared.where("NOT known").select(F.col("label").alias("header"), F.col("column").alias("kolom"), "share", "values")
+    beside = seen.where(F.col("__named").isNotNull()).select(file, F.col("__named").alias("kolom"))
+    beside = seen.where(F.col("__named").isNull()).select(file, "header").join(beside, file).select("header", "kolom").distinct()
+    judged = values.join(alike, ["header", "kolom"], "full").join(own, "kolom", "left").join(beside, ["header", "kolom"], "left_anti")
+    judged = judged.fillna(0.0, ["share", "alike", "self"]).fillna(0, ["values", "total_header"])
+    same = (F.col("share") >= layout.overlap) & (F.col("values") >= 3)
+    as_own = (F.col("self") >= 0.05) & (F.col("share") >= 0.5 * F.col("self")) & (F.col("alike") >= 0.3)
+    built_alike = (F.col("self") < 0.05) & (F.col("alike") >= 0.6) & (F.col("total_header") >= 8)
+    score = (F.col("share") + F.col("alike")).alias("nilai")
+    good = judged.where(same | as_own | built_alike).select("header", "kolom", score)
+    return good.groupBy("header").agg(F.max_by(F.struct("kolom", "nilai"), F.struct("nilai", "kolom")).alias("b")).select("header", "b.kolom", "b.nilai")
 
 
 def fused(raw: DataFrame, file: str, record: str, layout: Layout) -> DataFrame:
     """``headers`` with the column ``kolom`` that each header means in its file; a field the layout lacks keeps its header.
 
-    Two headers of a file that mean one column: the column's own name, else the one with more records, is it; the other stays
-    a field of its own.
+    Two headers of a file that mean one column: the column's own name, else the one whose values are more the column's, else the
+    one with more records, is it; the other stays a field of its own.
     """
     seen = headers(raw, file, record).withColumn("__named", by_name(F.col("header"), layout))
     seen = cut(seen)
-    known = seen.select("header", F.col("__named").alias("kolom")).distinct()
-    guessed = by_values(raw, known, record, layout).withColumnRenamed("kolom", "__guess")
+    guessed = by_values(raw, seen, file, record, layout).withColumnsRenamed({"kolom": "__guess", "nilai": "__score"})
     meant = seen.join(guessed, "header", "left").withColumn("__meant", F.coalesce("__named", "__guess"))
     rank = F.row_number().over(
         Window.partitionBy(file, "__meant").orderBy(
-            F.col("__named").isNull(), (F.col("header") != F.col("__meant")), F.col("rekaman").desc(), F.col("header")
+            F.col("__named").isNull(), (F.col("header") != F.col("__meant")), F.col("__score").desc(), F.col("rekaman").desc(), F.col("header")
         )
     )
     column = F.when(F.col("__meant").isNotNull() & (rank == 1), F.col("__meant")).otherwise(F.col("header"))
-    return meant.withColumn("kolom", column).drop("__named", "__guess", "__meant")
+    return meant.withColumn("kolom", column).drop("__named", "__guess", "__meant", "__score")
 
 
 def counting_files(raw: DataFrame, file: str, sender: str, period: str, loaded: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ FACT_REFERENCES = (
 )
 
 
-# Other headers of the columns of bronze_penelitian.
+# Other headers of the columns of bronze_penelitian. Only the oracle SQL and tests use them.
 HEADERS = {
     "Judul Proposal": ("Judul", "Judul Usulan", "Judul Penelitian", "Title"),
     "Ketua Peneliti": ("Ketua", "Nama Ketua Peneliti", "Nama Ketua", "Ketua Pengusul"),
@@ -42,20 +44,21 @@ LAYOUT = drift.Layout(
     branches=("Usulan Biaya", "Program Studi"),
     amounts=("Usulan Biaya",),
 )
+LEARNED = replace(LAYOUT, names={})  # headers other than the columns' own are known by their values alone
 _RAW = ("berkas_id", "pengirim_id", "periode", "dimuat_pada", "rekaman")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.changes(table(spark, sf_dir, "raw_penelitian"), *_RAW, LAYOUT).select("berkas_id", "kolom", "perubahan").distinct()
+    return drift.changes(table(spark, sf_dir, "raw_penelitian"), *_RAW, LEARNED).select("berkas_id", "kolom", "perubahan").distinct()
 
 
 def p2_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "raw_penelitian")
-    return drift.consistent(raw, "berkas_id", "rekaman", LAYOUT).withColumn("tahun", F.floor(F.col("periode") / 10).cast("int")).drop("rekaman")
+    return drift.consistent(raw, "berkas_id", "rekaman", LEARNED).withColumn("tahun", F.floor(F.col("periode") / 10).cast("int")).drop("rekaman")
 
 
 def p2_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.alternatives(table(spark, sf_dir, "raw_penelitian"), "berkas_id", "rekaman", LAYOUT)
+    return drift.alternatives(table(spark, sf_dir, "raw_penelitian"), "berkas_id", "rekaman", LEARNED)
 
 
 MEMBER_COLUMNS = ("Anggota Dosen", "Anggota Mahasiswa")
@@ -64,7 +67,7 @@ MEMBER_COLUMNS = ("Anggota Dosen", "Anggota Mahasiswa")
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = table(spark, sf_dir, "bronze_penelitian").select("baris_id", *[f"`{c}`" for c in MEMBER_COLUMNS])
     long = bronze.unpivot("baris_id", [f"`{c}`" for c in MEMBER_COLUMNS], "kolom", "teks")
-    return packed.split(long, "teks").select("baris_id", "kolom", "posisi", "nama", "nomor").distinct()
+    return packed.split(long, "teks").select("baris_id", "kolom", "posisi", "nama", "nomor")  # distinct, as baris_id is
 
 
 TITLE = prof.Format(bad=r"[^A9 .,:()/'-]|  |^ | $|^(?!(?:.* )?A(?: .*)? A(?: .*)? A(?: .*)? A(?: .*)?$)", exact=None)

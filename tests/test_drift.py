@@ -2,7 +2,7 @@ import json
 from collections import Counter, defaultdict
 
 from lumbung.operators import drift
-from lumbung.plans.problems import _RAW, LAYOUT
+from lumbung.plans.problems import _RAW, LAYOUT, LEARNED
 
 NAMES = {drift.squash(h): c for c in LAYOUT.columns for h in (c, *LAYOUT.names.get(c, ()))}
 
@@ -89,3 +89,21 @@ def test_amounts(spark):
     df = frame(spark, [(1, 1, 20231, 1, [{"RAB": v} for v in (*cases, {"jumlah": 7, "mata_uang": "IDR"}, {"nilai": "8", "satuan": "Rp"}, None)])])
     got = [r[0] for r in drift.consistent(df, "berkas_id", "rekaman", LAYOUT).select("Usulan Biaya").collect()]
     assert sorted(map(str, got)) == sorted([*cases.values(), "7", "8", "None"])
+
+
+def test_headers_are_learned_from_values(spark):
+    """Without any list of other headers the values tell them, as the list does."""
+    for sf in ("sf0.01", "sf0.1"):
+        raw = spark.read.parquet(f"/root/testdata/{sf}/raw_penelitian.parquet")
+        listed, learned = ({tuple(r) for r in drift.fused(raw, "berkas_id", "rekaman", layout).select("berkas_id", "header", "kolom").collect()} for layout in (LAYOUT, LEARNED))
+        assert listed == learned, sorted(listed ^ learned)[:9]
+
+
+def test_other_fields_stay_their_own(spark):
+    """Fields beside a column, of other values or of other numbers than its, are not taken for it."""
+    amounts = [{"Usulan Biaya": 50_000 * (20 + k % 37), "Judul Proposal": f"Kajian air {k} di desa"} for k in range(80)]
+    files = [(1, 1, 20231, 1, amounts[:40]), (2, 1, 20232, 2, amounts[40:])]
+    files += [(3, 1, 20233, 3, [{"Dana": r["Usulan Biaya"], "Judul Proposal": r["Judul Proposal"], "Luaran": w} for r, w in zip(amounts, ["jurnal", "poster", "paten"] * 27)])]
+    files += [(4, 1, 20234, 4, [{"Halaman": 1_000_003 + 7 * k, "Judul Proposal": r["Judul Proposal"]} for k, r in enumerate(amounts)])]
+    got = {tuple(r) for r in drift.changes(frame(spark, files), *_RAW, LEARNED).select("berkas_id", "kolom", "perubahan").collect()}
+    assert got == {(3, "Usulan Biaya", "renamed"), (3, "Luaran", "added"), (4, "Usulan Biaya", "removed"), (4, "Luaran", "removed"), (4, "Halaman", "added")}
