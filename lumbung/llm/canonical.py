@@ -380,29 +380,37 @@ def mapped(
     if shards is None:
         shards = -(-entries.count() // BROADCAST_ENTRIES)
     base = values.drop("ref_id", "biaya")
+    # Equal values are searched once; the rows of values that hold more than a hundredth of all rows never shuffle.
+    counted = cut(base.select(F.col(column).alias("v")).where(F.col("v").isNotNull()).groupBy("v").count())
     if shards <= 1:
         listed = {r.k: r.n for r in entries.orderBy("k").collect()}  # at most BROADCAST_ENTRIES
         broadcast = spark.sparkContext.broadcast((uuid.uuid4().hex, listed, rules))
-        found = _match_udf(broadcast)(F.col(column))
-        return base.withColumn("__found", found).select("*", "__found.ref_id", "__found.biaya").drop("__found")
+        # An own number of partitions: the values are small in bytes but not in work, so AQE must not join their partitions.
+        spread = counted.select("v").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "v")
+        decided = spread.select(F.col("v").alias(column), _match_udf(broadcast)("v").alias("__found"))
+    else:
+        decided = _sharded(counted, entries, rules, shards, group).withColumnRenamed("v", column)
+    out = lookup(base, decided, column, hot_keys(counted, "v"), "left")
+    some = F.col(column).isNotNull()
+    return out.select(
+        *[F.col(f"`{c}`") for c in base.columns],
+        F.coalesce("__found.ref_id", F.when(some, F.lit(NONE))).alias("ref_id"),
+        F.coalesce("__found.biaya", F.when(some, F.lit(9.0))).alias("biaya"),
+    )
+
+
+def _sharded(counted: DataFrame, entries: DataFrame, rules: Rules, shards: int, group: int) -> DataFrame:
+    """(v, __found): every value meets every shard of the entries, and what they find is decided together."""
 
     def shard(_, texts: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
         matcher = Matcher(dict(zip(part["k"], part["n"])), rules)
         rows = [(v, *f) for v in texts["v"] for f in matcher.find(v)]
         return pd.DataFrame(rows, columns=["v", "rule", "form", "entry", "cost"])
 
-    counted = cut(base.select(F.col(column).alias("v")).where(F.col("v").isNotNull()).groupBy("v").count())
     salts = max(1, -(-counted.count() // group))
     spread = counted.select("v", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.hash("v"), F.lit(salts)).alias("salt"))
     parts = entries.withColumn("shard", F.pmod(F.hash("k"), F.lit(shards))).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     found = spread.groupBy("shard", "salt").cogroup(parts.groupBy("shard", "salt")).applyInPandas(shard, "v string, rule string, form int, entry int, cost double")
     # At most two entries a rule, form and shard: what a value's group holds is bounded by the number of shards.
     found = found.groupBy("v").agg(F.collect_list(F.struct("rule", "form", "entry", "cost")).alias("__all"))
-    decided = found.select(F.col("v").alias(column), _decide_udf(rules)("v", "__all").alias("__found"))
-    out = lookup(base, decided, column, hot_keys(counted, "v"), "left")
-    nothing = F.col(column).isNotNull()
-    return out.select(
-        *[F.col(f"`{c}`") for c in base.columns],
-        F.coalesce("__found.ref_id", F.when(nothing, F.lit(NONE))).alias("ref_id"),
-        F.coalesce("__found.biaya", F.when(nothing, F.lit(9.0))).alias("biaya"),
-    )
+    return found.select("v", _decide_udf(rules)("v", "__all").alias("__found"))
