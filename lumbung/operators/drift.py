@@ -21,10 +21,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lumbung.operators.profile import mask
+from lumbung.operators.skew import hot_keys, lookup
 from lumbung.session import cut
 
 WHOLE, POINT, STRING, BOOLEAN, OBJECT, ARRAY = TAGS = ("bulat", "desimal", "string", "boolean", "objek", "larik")
 MAX_COLUMNS = 2_000
+INNER = ("jumlah", "nilai", "nama")  # what counts of an object, in this order
 
 
 @dataclass(frozen=True)
@@ -60,7 +62,11 @@ def by_name(header: Column, layout: Layout) -> Column:
 
 def tag(value: Column) -> Column:
     """Type tag of a variant; null for JSON null."""
-    kind = F.schema_of_variant(value)
+    return tag_of(F.schema_of_variant(value))
+
+
+def tag_of(kind: Column) -> Column:
+    """Type tag of a variant's schema."""
     wide = F.regexp_extract(kind, r"^DECIMAL\((\d+),0\)$", 1)
     return (
         F.when(kind == "BIGINT", WHOLE)
@@ -81,7 +87,8 @@ def record_map(text: Column) -> Column:
 def headers(raw: DataFrame, file: str, record: str) -> DataFrame:
     """Per file and header: records that have it, non-null values by type, and the type of most (ties: in the order of TAGS)."""
     cells = raw.select(F.col(file), F.explode(record_map(F.col(record))).alias("header", "nilai"))
-    tagged = cells.select(file, "header", tag(F.col("nilai")).alias("tag"))
+    cells = cells.select(file, "header", F.schema_of_variant("nilai").alias("skema"))  # apart, so that it is found once a value
+    tagged = cells.select(file, "header", tag_of(F.col("skema")).alias("tag"))
     counted = tagged.groupBy(file, "header").agg(F.count("*").alias("rekaman"), *[F.count_if(F.col("tag") == t).alias(t) for t in TAGS])
     most = F.greatest(*[F.col(t) for t in TAGS])
     kind = F.lit(None).cast("string")
@@ -113,8 +120,13 @@ def by_values(raw: DataFrame, seen: DataFrame, file: str, record: str, layout: L
     if not known.where(F.col("kolom").isNull()).head(1):
         return known.limit(0).withColumn("nilai", F.lit(0.0))
     cells = raw.select(F.col(file).alias("__file"), F.explode(record_map(F.col(record))).alias("header", "__v"))
-    parts = F.when(tag(F.col("__v")) == ARRAY, F.try_variant_get("__v", "$", "array<string>")).otherwise(F.array(cell(F.col("__v"))["kanon"]))
-    texts = cells.select("__file", "header", F.explode(parts).alias("t")).select("__file", "header", F.lower(F.trim(amount(F.col("t")))).alias("t")).where("t <> ''")
+    kind, value = F.col("__kind"), F.col("__v")
+    text = F.try_variant_get(value, "$", "string")
+    inner = F.coalesce(*[F.try_variant_get(value, f"$.{k}", "string") for k in INNER], text)
+    parts = F.when(kind.startswith("ARRAY"), F.try_variant_get(value, "$", "array<string>")).otherwise(F.array(F.when(kind.startswith("OBJECT"), inner).otherwise(text)))
+    texts = cells.withColumn("__kind", F.schema_of_variant("__v")).where("__kind <> 'VOID'").select("__file", "header", F.explode(parts).alias("t"))
+    texts = texts.select("__file", "header", F.lower(F.trim("t")).alias("t")).where("t <> ''")
+    texts = texts.withColumn("t", F.when(F.col("t").rlike(r"^(rp|idr)?[ .]*[0-9]"), amount(F.col("t"))).otherwise(F.col("t")))
     label, is_known = F.coalesce("kolom", "header").alias("label"), F.col("kolom").isNotNull().alias("known")
     pieces = texts.distinct().join(known, "header").select("__file", "t", label, is_known).distinct()
     pieces = cut(pieces.groupBy("known", "label", "t").agg(F.count("*").alias("n")))
@@ -219,7 +231,7 @@ def cell(value: Column) -> Column:
     """
     kind = tag(value)
     text = F.try_variant_get(value, "$", "string")
-    inner = F.coalesce(*[F.try_variant_get(value, f"$.{k}", "string") for k in ("jumlah", "nilai", "nama")], text)
+    inner = F.coalesce(*[F.try_variant_get(value, f"$.{k}", "string") for k in INNER], text)
     items = F.coalesce(F.array_join(F.try_variant_get(value, "$", "array<string>"), ", "), text)
     plain = F.when(kind == ARRAY, items).when(kind == OBJECT, inner).otherwise(text)
     return F.struct(kind.alias("tipe"), text.alias("teks"), plain.alias("kanon"))
@@ -257,7 +269,8 @@ def consistent(raw: DataFrame, file: str, record: str, layout: Layout) -> DataFr
     if len(extra) > MAX_COLUMNS:
         raise ValueError(f"more than {MAX_COLUMNS} further columns")
     per_file = mapping.groupBy(file).agg(F.map_from_entries(F.collect_list("__m")).alias("__names"))  # at most the headers of a file
-    rows = raw.join(per_file, file, "left").withColumn("__record", record_map(F.col(record)))
+    often = hot_keys(raw.groupBy(file).count(), file)  # a file may hold a third of all records
+    rows = lookup(raw, per_file, file, often, "left").withColumn("__record", record_map(F.col(record)))
     meant = F.map_from_entries(
         F.transform(F.map_entries("__record"), lambda e: F.struct(F.coalesce(F.try_element_at(F.col("__names"), e["key"]), e["key"]), e["value"]))
     )

@@ -11,12 +11,14 @@ are a bounded broadcast) are joined apart from the others, which shuffle.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumbung.operators.skew import hot_keys, lookup
+from lumbung.session import cut
 
 BROADCAST_KEYS = 500_000
 MAX_FILTER_BITS = 64 * 1024 * 1024  # 8 MB, also the planner's own bound
@@ -67,7 +69,8 @@ def bloom(keys: DataFrame, n: int) -> Column | None:
         built = catalyst.aggregate.BloomFilterAggregate(expression(F.xxhash64("__key")), *sizes).toAggregateExpression()
         one = keys.agg(Classic(util.column(built)).alias("filter")).scalar()
         return Classic(util.column(catalyst.BloomFilterMightContain(expression(one), expression(F.xxhash64("__key")))))
-    except (AttributeError, ImportError, TypeError):
+    except (AttributeError, ImportError, TypeError) as e:
+        warnings.warn(f"no Bloom filter in this session ({e}); every reference meets the exact join", stacklevel=2)
         return None
 
 
@@ -89,7 +92,7 @@ def orphans(child: DataFrame, parent: DataFrame, ref: Reference, loaded: str = "
     """
     names = [c for c in child.columns if c not in ("kolom", "sebab")]
     rows = child.where(F.col(ref.column).isNotNull()).withColumn("__key", F.col(ref.column))
-    keys = parents(parent, ref)
+    keys = cut(parents(parent, ref))  # counted, filtered by and joined: aggregated once
     n = keys.count()
     if n == 0:
         return rows.select(*names, F.lit(ref.column).alias("kolom"), F.lit(MISSING).alias("sebab"))

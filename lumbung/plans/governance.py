@@ -293,7 +293,7 @@ def time_travel_schema(spark, sf):
     old = t._meta().refs["main"]
     t.drop_column("o_orderstatus")
     t.rename_column("o_custkey", "pelanggan")
-    t.overwrite(t.read().limit(1))
+    t.overwrite(t.read().where("o_orderkey = 1"))
     return t.read(old)
 
 

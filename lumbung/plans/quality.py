@@ -86,6 +86,11 @@ def swap_counts(rows: DataFrame, swap: Swap, title: str | None = None) -> DataFr
     )
 
 
+def title_counts(rows: DataFrame, title: str) -> DataFrame:
+    """One row: total and blank titles."""
+    return rows.agg(F.count("*").alias("total"), F.count_if(blank(F.col(title))).alias("null_judul"))
+
+
 def name_counts(rows: DataFrame, column: str, known: DataFrame, name: str) -> DataFrame:
     """One row: total, empty, invalid (whether known or not), unmatched_valid, matched names against exact known names."""
     r = rows.join(known.select(F.col(name).alias(column), F.lit(True).alias("__hit")).distinct(), column, "left")

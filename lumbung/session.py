@@ -23,6 +23,7 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in (base | conf).items():
         builder = builder.config(key, value)
@@ -41,17 +42,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder that the cluster names in ``spark.checkpoint.dir``; None in a local session without one. A cluster's session
+    without one is refused, since executors do not share a machine's temporary folder."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir", None)
+    if folder is None and not context.master.startswith("local"):
+        raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
+    return folder
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared checkpoint folder.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only a session without one
-    (tests, a laptop) gets a temporary folder of its own.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``; only a local session without one (tests, a laptop)
+    gets a temporary folder of its own. With ``spark.cleaner.referenceTracking.cleanCheckpoints`` Spark removes checkpoints
+    that nothing refers to any more; ``local_session`` sets it.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lumbung-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession) or tempfile.mkdtemp(prefix="lumbung-checkpoint-"))
     return df.checkpoint(eager=True)
 
 
@@ -65,6 +75,5 @@ def preview(df: DataFrame, limit: int = 100) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder beside the shared checkpoints; a temporary one only where the session names no checkpoint folder."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return f"{folder or 'file://' + tempfile.mkdtemp(prefix='lumbung-')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder beside the shared checkpoints; a temporary one only in a local session without a checkpoint folder."""
+    return f"{shared_folder(spark) or 'file://' + tempfile.mkdtemp(prefix='lumbung-')}/{name}-{uuid.uuid4().hex[:12]}"

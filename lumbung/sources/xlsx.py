@@ -1,8 +1,11 @@
-"""Spreadsheet workbooks as a Spark data source, from the files' XML; and tables with unknown header rows.
-
-``spark.read.format("lumbung_xlsx").load(path)`` gives every cell as text: ``sheet``, ``row`` (from 1, empty rows kept) and
-``_c0`` ... ``_cN``. One task reads a sheet (a sheet's XML cannot be split); option ``sheets`` selects by name. Row numbers are
-explicit, so the order of a sheet survives any plan.
+"""Spreadsheet workbooks from the files' XML, and tables with unknown header rows.
+
+``cells(spark, path)`` reads workbooks of any Hadoop file system, many at a time (a path may be a folder or a pattern): one
+task parses a workbook once and gives each row of each sheet with its number and its cells as an array of texts.
+``workbook`` puts year sheets under their own headers. ``spark.read.format("lumbung_xlsx").load(path)`` is a data source for a
+workbook that all workers reach as a local path, with columns ``sheet``, ``row`` and ``_c0`` ... ``_cN``; its width is the
+sheet's stated dimension where there is one. Row numbers are explicit, so the order of a sheet survives any plan.
+``save`` writes small frames as a workbook.
 """
 
 from __future__ import annotations
@@ -13,26 +16,31 @@ import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
+from xml.sax.saxutils import escape
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.window import Window
 
+from lumbung.session import cut
+from lumbung.sources.store import Files
+
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 #: Built-in number formats that show dates.
 _DATES = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
 
 
-def _open(path: str) -> zipfile.ZipFile:
-    return zipfile.ZipFile(path.removeprefix("file://"))
+def _open(book: str | bytes) -> zipfile.ZipFile:
+    return zipfile.ZipFile(io.BytesIO(book) if isinstance(book, bytes) else book.removeprefix("file://"))
 
 
-def sheet_names(path: str) -> list[str]:
-    """Sheets in the order of the workbook."""
-    with _open(path) as z:
+def sheet_names(book: str | bytes) -> list[str]:
+    """Sheets in the order of the workbook, a local path or its contents."""
+    with _open(book) as z:
         return [s.get("name") for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(_NS + "sheet")]
 
 
@@ -68,18 +76,30 @@ def _date_styles(z: zipfile.ZipFile) -> set[int]:
     return {k for k, x in enumerate(cells if cells is not None else []) if int(x.get("numFmtId", 0)) in _DATES | own}
 
 
-def rows_of(path: str, sheet: str) -> Iterator[list[str | None]]:
+def _place(z: zipfile.ZipFile, sheet: str) -> str:
+    """The name of a sheet's XML."""
+    book = ElementTree.fromstring(z.read("xl/workbook.xml"))
+    rid = next(s.get(_REL + "id") for s in book.iter(_NS + "sheet") if s.get("name") == sheet)
+    rels = ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))
+    target = next(r.get("Target") for r in rels if r.get("Id") == rid)
+    return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+
+
+def width_of(path: str, sheet: str) -> int:
+    """Columns of a sheet by its stated dimension; by its rows where it states none or only one cell."""
+    with _open(path) as z, z.open(_place(z, sheet)) as stream:
+        stated = re.search(rb'<(?:\w+:)?dimension[^>]*ref="[A-Z]+[0-9]+:([A-Z]+)[0-9]+"', stream.read(4096))
+    return _column(stated[1].decode()) + 1 if stated else max((len(r) for r in rows_of(path, sheet)), default=0)
+
+
+def rows_of(book: str | bytes, sheet: str) -> Iterator[list[str | None]]:
     """Rows of a sheet as lists of texts, empty rows included; numbers as written, dates as ISO, empty cells as None."""
-    with _open(path) as z:
-        book = ElementTree.fromstring(z.read("xl/workbook.xml"))
-        rid = next(s.get(_REL + "id") for s in book.iter(_NS + "sheet") if s.get("name") == sheet)
-        rels = ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))
-        target = next(r.get("Target") for r in rels if r.get("Id") == rid)
+    with _open(book) as z:
+        about = ElementTree.fromstring(z.read("xl/workbook.xml"))
         shared, dates = _shared(z), _date_styles(z)
-        start = datetime(1904, 1, 1) if any(p.get("date1904") in ("1", "true") for p in book.iter(_NS + "workbookPr")) else datetime(1899, 12, 30)
-        name = target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+        start = datetime(1904, 1, 1) if any(p.get("date1904") in ("1", "true") for p in about.iter(_NS + "workbookPr")) else datetime(1899, 12, 30)
         at = 0
-        with z.open(name) as stream:
+        with z.open(_place(z, sheet)) as stream:
             for _, node in ElementTree.iterparse(stream):
                 if node.tag != _NS + "row":
                     continue
@@ -144,7 +164,7 @@ class XlsxSource(DataSource):
 
     def schema(self) -> T.StructType:
         path = self.options["path"]
-        width = int(self.options.get("width") or max((len(r) for s in self._sheets() for r in rows_of(path, s)), default=0))
+        width = int(self.options.get("width") or max((width_of(path, s) for s in self._sheets()), default=0))
         fields = [T.StructField("sheet", T.StringType()), T.StructField("row", T.IntegerType())]
         return T.StructType(fields + [T.StructField(f"_c{k}", T.StringType()) for k in range(width)])
 
@@ -185,17 +205,94 @@ def with_headers(rows: DataFrame, order: str = "row") -> DataFrame:
     return rows.where((F.col(order) > found["first"]) & some).select(order, *[filled[c].alias(n) for c, n in zip(kept, names)])
 
 
-def workbook(spark: SparkSession, path: str, sheets: list[str] | None = None) -> DataFrame:
-    """Year sheets of a workbook as one bronze table: headers found per sheet, columns united by name, ``tahun`` the sheet."""
+_CELLS = "berkas string, sheet string, row int, cells array<string>"
+
+
+def cells(spark: SparkSession, path: str | list[str], sheets: list[str] | None = None) -> DataFrame:
+    """Rows of workbooks: berkas (the file), sheet, row (from 1, empty rows kept), cells. ``sheets``: only those; None: all."""
+
+    def parse(batches):
+        for batch in batches:
+            for name, content in zip(batch["path"], batch["content"]):
+                for sheet in sheet_names(content):
+                    if sheets is None or sheet in sheets:
+                        rows = [(name, sheet, k, row) for k, row in enumerate(rows_of(content, sheet), 1)]
+                        yield pd.DataFrame(rows, columns=["berkas", "sheet", "row", "cells"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(parse, _CELLS)
+
+
+def workbook(spark: SparkSession, path: str | list[str], sheets: list[str] | None = None) -> DataFrame:
+    """Year sheets of one or several workbooks as one bronze table: headers found per sheet, columns united by name, ``tahun``
+    the sheet. Each workbook is parsed once; one aggregate finds every sheet's header row and columns, and only the headers
+    come to the driver."""
     register(spark)
-    out = None
-    for sheet in sheets if sheets is not None else year_sheets(sheet_names(path)):
-        raw = spark.read.format("lumbung_xlsx").option("sheets", sheet).load(path).drop("sheet")
-        rows = with_headers(raw).drop("row").withColumn("tahun", F.lit(int(sheet)))
-        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    if out is None:
+    raw = cells(spark, path, sheets)
+    raw = cut(raw if sheets is not None else raw.where(F.col("sheet").rlike(r"^\d{4}$")))
+    filled = raw.withColumn("cells", F.transform("cells", lambda c: F.nullif(F.trim(c), F.lit("")))).where(F.exists("cells", lambda c: c.isNotNull()))
+    places = F.filter(F.sequence(F.lit(0), F.size("cells") - 1), lambda k: F.get(F.col("cells"), k).isNotNull())
+    spans = filled.withColumn("__at", places).groupBy("berkas", "sheet").agg(
+        F.min(F.array_min("__at")).alias("first"), F.max(F.array_max("__at")).alias("last"), F.min("row").alias("head"), F.min_by("cells", "row").alias("names")
+    )
+    found = spans.orderBy("berkas", "sheet").collect()  # one row a sheet
+    if not found:
         raise ValueError(f"no sheet of a year in {path}")
-    return out
+    columns: dict[str, None] = {}
+    headers = []
+    for r in found:
+        fallback = [f"_c{k}" for k in range(r["first"], r["last"] + 1)]
+        names = unique_headers([*(r["names"] + [None] * (r["last"] + 1))[r["first"] : r["last"] + 1]], fallback)
+        headers.append((r["berkas"], r["sheet"], r["head"], r["first"], names))
+        columns |= dict.fromkeys([*names, "tahun"])
+    known = spark.createDataFrame(headers, "berkas string, sheet string, head int, first int, names array<string>")
+    rows = filled.join(F.broadcast(known), ["berkas", "sheet"]).where(F.col("row") > F.col("head"))  # one row a sheet
+    values = F.transform("names", lambda _, k: F.get(F.col("cells"), F.col("first") + k))
+    named = rows.withColumn("__values", F.map_from_arrays("names", values))
+    return named.select(*[F.col("sheet").cast("int").alias(c) if c == "tahun" else F.try_element_at("__values", F.lit(c)).alias(c) for c in columns])
+
+
+MOST_ROWS = 1_048_576  # of a sheet, by the format
+
+
+def save(spark: SparkSession, path: str, sheets: dict[str, DataFrame]) -> None:
+    """Small frames as the sheets of a workbook on any Hadoop file system: headers, then rows; numbers as numbers, null as
+    empty cells, other values as texts. A frame of more rows than a sheet can have is refused."""
+    parts = {}
+    main, office = _NS[1:-1], _REL[1:-1]
+    for k, df in enumerate(sheets.values(), 1):
+        rows = df.limit(MOST_ROWS).collect()
+        if len(rows) == MOST_ROWS:
+            raise ValueError(f"a sheet has at most {MOST_ROWS} rows")
+        lines = []
+        for n, row in enumerate([df.columns, *rows], 1):
+            made = []
+            for c, value in enumerate(row):
+                ref = f'r="{_letters(c)}{n}"'
+                if isinstance(value, (int, float)) and not isinstance(value, bool):
+                    made.append(f"<c {ref}><v>{value}</v></c>")
+                elif value is not None:
+                    made.append(f'<c {ref} t="inlineStr"><is><t xml:space="preserve">{escape(str(value))}</t></is></c>')
+            lines.append(f'<row r="{n}">{"".join(made)}</row>')
+        size = f'<dimension ref="A1:{_letters(max(1, len(df.columns)) - 1)}{len(lines)}"/>'
+        parts[f"xl/worksheets/sheet{k}.xml"] = f'<worksheet xmlns="{main}">{size}<sheetData>{"".join(lines)}</sheetData></worksheet>'
+    listed = "".join(f'<sheet name="{escape(n)}" sheetId="{k}" r:id="r{k}"/>' for k, n in enumerate(sheets, 1))
+    parts["xl/workbook.xml"] = f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets>{listed}</sheets></workbook>'
+    relation = "http://schemas.openxmlformats.org/package/2006/relationships"
+    targets = "".join(f'<Relationship Id="r{k}" Type="{office}/worksheet" Target="worksheets/sheet{k}.xml"/>' for k in range(1, len(sheets) + 1))
+    parts["xl/_rels/workbook.xml.rels"] = f'<Relationships xmlns="{relation}">{targets}</Relationships>'
+    parts["_rels/.rels"] = f'<Relationships xmlns="{relation}"><Relationship Id="r1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>'
+    kinds = "".join(f'<Override PartName="/{n}" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.{"worksheet" if "sheets/" in n else "sheet.main"}+xml"/>' for n in parts if n.endswith(".xml"))
+    parts["[Content_Types].xml"] = f'<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>{kinds}</Types>'
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, xml in parts.items():
+            z.writestr(name, '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n' + xml)
+    Files(spark).create(path, buffer.getvalue(), overwrite=True)
+
+
+def _letters(k: int) -> str:
+    """The name of a column: A, B, ..., Z, AA, ..."""
+    return (_letters(k // 26 - 1) if k >= 26 else "") + chr(65 + k % 26)
 
 
 def numbered(rows: DataFrame, *order: str) -> DataFrame:

@@ -63,6 +63,20 @@ def test_workbook(spark, tmp_path):
     assert xlsx.with_headers(empty).columns == ["row"]
 
 
+def test_workbooks_of_a_folder(spark, tmp_path):
+    folder = tmp_path / "buku & co"
+    folder.mkdir()
+    book(folder / "a.xlsx", {"2022": [["Judul", "Judul"], ["A", "B"]], "2023": [[None], ["Judul", None, "Lain"], [None, None, 7]], "2021": [[None, " "]]})
+    xlsx.save(spark, f"file://{folder}/b.xlsx", {"2022": spark.createDataFrame([(1, "x < y & \"z\"", None), (None, "", 2.5)], "No int, Judul string, Baru double")})
+    got = xlsx.workbook(spark, str(folder))
+    assert got.columns == ["Judul", "Judul_2", "tahun", "_c1", "Lain", "No", "Baru"]
+    want = [("A", "B", 2022, None, None, None, None), (None, None, 2023, None, "7", None, None), ('x < y & "z"', None, 2022, None, None, "1", None), (None, None, 2022, None, None, None, "2.5")]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert {(r.sheet, r["count"]) for r in xlsx.cells(spark, str(folder), ["2022"]).groupBy("berkas", "sheet").count().collect()} == {("2022", 2), ("2022", 3)}
+    assert xlsx.width_of(f"{folder}/b.xlsx", "2022") == 3 and xlsx.width_of(f"{folder}/a.xlsx", "2023") == 3
+    assert [xlsx._letters(k) for k in (0, 25, 26, 701, 702)] == ["A", "Z", "AA", "ZZ", "AAA"]
+
+
 def test_sections(spark):
     lines = [("a", 1, 10, "Judul laporan", 12.0, False), ("a", 1, 20, "PENDAHULUAN", 12.0, True), ("a", 1, 30, "Isi petunjuk: tulis.", 12.0, False), ("a", 1, 40, "teks satu", 12.0, False),
              ("a", 2, 5, "Metodee", 14.0, False), ("a", 2, 9, "cara  kerja", 12.0, False), ("a", 2, 12, "Pendahuluan", 12.0, True), ("b", 1, 1, "tanpa judul", 10.0, None)]

@@ -111,3 +111,23 @@ def test_people_of_the_sheet(spark):
         got = rows.select(F.col(f"`{c}`").alias("v"), text.people_names(F.col(f"`{c}`")).alias("n"), text.people_ids(F.col(f"`{c}`")).alias("i")).collect()
         wrong = [(r.v, r.n, r.i, brute_people(r.v)) for r in got if (r.n, r.i) != brute_people(r.v)]
         assert not wrong, wrong[:3]
+
+
+def test_kinds_of_names_equal_a_look_at_each(spark):
+    from lumbung.plans import quality
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/silver_sitasi.parquet").select("ketua_peneliti").unionByName(
+        spark.createDataFrame([(None,), (" ",), ("Penerbit X",), ("Budi, Ani",), ("Budi, ...",), ("Tak Dikenal",)], "ketua_peneliti string")
+    )
+    known = spark.read.parquet("/root/testdata/sf0.01/dim_dosen.parquet")
+    full = {r.nama for r in known.collect()}
+    want = dict.fromkeys(("total", "empty", "invalid", "unmatched_valid", "matched"), 0)
+    for (name,) in rows.collect():
+        root = names.root(name)
+        empty, bad, hit = name is None or not name.strip(" "), root is None or "," in root, name in full
+        want["total"] += 1
+        want["empty"] += empty
+        want["invalid"] += not empty and bad
+        want["unmatched_valid"] += not empty and not bad and not hit
+        want["matched"] += hit
+    assert quality.name_counts(rows, "ketua_peneliti", known, "nama").first().asDict() == want
