@@ -43,17 +43,31 @@ def normal(text: str) -> str:
     return " ".join(re.findall(r"[a-z0-9]+", text))
 
 
+def _places(text: str) -> dict[str, int]:
+    """The places of each letter as bits."""
+    where: dict[str, int] = {}
+    for i, char in enumerate(text):
+        where[char] = where.get(char, 0) | 1 << i
+    return where
+
+
+def _letters(text: str) -> int:
+    """The letters of a text as bits; letters may share one."""
+    out = 0
+    for char in text:
+        out |= 1 << (ord(char) & 63)
+    return out
+
+
 def distance(a: str, b: str) -> int:
     """Levenshtein distance by bit vectors of vertical differences."""
-    if len(a) < len(b):
-        a, b = b, a
-    if not b:
+    return _distance(a, _places(b), len(b))
+
+
+def _distance(a: str, where: dict[str, int], n: int) -> int:
+    if not n:
         return len(a)
-    n = len(b)
     full, top = (1 << n) - 1, 1 << (n - 1)
-    where: dict[str, int] = {}
-    for i, char in enumerate(b):
-        where[char] = where.get(char, 0) | 1 << i
     plus, minus, score = full, 0, n
     for char in a:
         match = where.get(char, 0)
@@ -72,33 +86,50 @@ def distance(a: str, b: str) -> int:
     return score
 
 
+class _Node:
+    __slots__ = ("key", "length", "letters", "where", "branches", "farthest")
+
+    def __init__(self, key: str):
+        self.key, self.length, self.letters, self.where = key, len(key), _letters(key), _places(key)
+        self.branches: dict[int, _Node] = {}
+        self.farthest = 0  # the longest edge below
+
+
 class BKTree:
     """Keys under Levenshtein distance; ``find`` gives every key within a radius."""
 
     def __init__(self, keys: Iterable[str] = ()):
-        self.root: tuple[str, dict] | None = None
+        self.root: _Node | None = None
         for key in keys:
             self.add(key)
 
     def add(self, key: str) -> None:
         if self.root is None:
-            self.root = (key, {})
+            self.root = _Node(key)
             return
         node = self.root
-        while (d := distance(key, node[0])) != 0:
-            if d not in node[1]:
-                node[1][d] = (key, {})
+        while (d := _distance(key, node.where, node.length)) != 0:
+            node.farthest = max(node.farthest, d)
+            if d not in node.branches:
+                node.branches[d] = _Node(key)
                 return
-            node = node[1][d]
+            node = node.branches[d]
 
     def find(self, query: str, radius: int) -> list[tuple[int, str]]:
-        out, stack = [], [self.root] if self.root else []
+        """Every key within the radius. A node that is surely farther than the radius and its longest edge, by length or by
+        letters that only one text has, is left with its branches before its distance is computed."""
+        out: list[tuple[int, str]] = []
+        stack = [self.root] if self.root else []
+        n, letters = len(query), _letters(query)
         while stack:
-            key, branches = stack.pop()
-            d = distance(query, key)
+            node = stack.pop()
+            far = radius + node.farthest
+            if abs(node.length - n) > far or (letters & ~node.letters).bit_count() > far or (node.letters & ~letters).bit_count() > far:
+                continue
+            d = _distance(query, node.where, node.length)
             if d <= radius:
-                out.append((d, key))
-            stack += [child for edge, child in branches.items() if d - radius <= edge <= d + radius]
+                out.append((d, node.key))
+            stack += [child for edge, child in node.branches.items() if d - radius <= edge <= d + radius]
         return out
 
 
@@ -260,15 +291,17 @@ class Matcher:
             fits = {k: 0.5 if not rest or distance(rest, self.names[k][-1]) <= 0.6 * len(rest) or k in self._prefixed(rest) else 9.0 for k in self.numbers.get(number, ())}
             add("number", 0, fits)
         near: dict[int, float] = {}
-        for form in forms:
-            for query in {form, " ".join(sorted(form.split())), form.replace(" ", "")}:
-                for d, key in self.tree.find(query, self._radius(query)):
-                    cost = d / max(len(query), len(key), 1)
-                    for k in self.ids[key]:
-                        near[k] = min(cost, near.get(k, 9.0))
+        asked = [query for form in forms for query in {form, " ".join(sorted(form.split())), form.replace(" ", "")}]
+        if whole and not numbered:
+            equal = {k for query in asked for k in self.ids.get(query, ())}  # a distance of 0 needs no search
+            if len(equal) == 1:
+                return [Found("near", 0, equal.pop(), 0.0)]
+        for query in asked:
+            for d, key in self.tree.find(query, self._radius(query)):
+                cost = d / max(len(query), len(key), 1)
+                for k in self.ids[key]:
+                    near[k] = min(cost, near.get(k, 9.0))
         add("near", 0, near)
-        if whole and len(sure := [f for f in out if f.rule == "near" and f.cost == 0]) == 1 and not numbered:
-            return sure
         for at, form in enumerate(forms):
             if len(form) >= 8:
                 add("begun", at, dict.fromkeys(self._begun(form, 2), 0.5))

@@ -6,9 +6,9 @@ some number of times. Several permitted capacities are optimised jointly: where
 capacity is opened that the remaining sizes can fill with the least unused share (the larger one on ties), and at the end
 each container is downsized to the smallest permitted capacity that holds its contents.
 
-Items then find their container by their rank among items of equal size. Ranks come from groups of (size, bucket), so a size
-that a third of all items share is spread over ``BUCKETS`` groups; offsets (at most capacity x BUCKETS numbers) and the plan are
-bounded by the capacity, not by the data.
+Items then find their container by their rank among items of equal size. Ranks come from groups of (size, bucket) of about
+``BUCKET`` items, as many buckets as a size needs, so a size that a third of all items share is spread over many groups. The
+plan is bounded by the capacity; the offsets are one number a group.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from lumbung.session import cut
 
-BUCKETS = 64
+BUCKET = 200_000
 
 
 @dataclass
@@ -149,12 +149,12 @@ def _place_udf(broadcast):
     return run
 
 
-def packed(items: DataFrame, key: str, size: str, capacities: tuple[int, ...] = (2048,), buckets: int = BUCKETS) -> DataFrame:
+def packed(items: DataFrame, key: str, size: str, capacities: tuple[int, ...] = (2048,), buckets: int = 1) -> DataFrame:
     """One row an item, or a piece of an item longer than the largest capacity: key, potongan (from 0), awal (its first unit),
     panjang, wadah (container), kapasitas (of the downsized container).
 
     Items of null size or size 0 need no space and are left out. Repeated keys are items of their own. The pieces of a long
-    item but the last fill a container each.
+    item but the last fill a container each. ``buckets``: the fewest groups of a size.
     """
     largest = max(capacities)
     n = F.col(size).cast("long")
@@ -165,15 +165,19 @@ def packed(items: DataFrame, key: str, size: str, capacities: tuple[int, ...] =
         (F.col("potongan").cast("long") * largest).alias("awal"),
         F.least(F.col("__n") - F.col("potongan").cast("long") * largest, F.lit(largest)).cast("int").alias("panjang"),
     )
+    pieces = cut(pieces)
+    spark = items.sparkSession
+    histogram = {r["panjang"]: r["count"] for r in pieces.groupBy("panjang").count().collect()}  # at most ``largest`` sizes
+    groups = {s: max(buckets, -(-n // BUCKET)) for s, n in histogram.items()}
+    spread = spark.createDataFrame(list(groups.items()), "panjang int, __buckets int")
     # hash(): a piece's bucket depends on its key and number only, so a lost task gives the same groups again.
-    pieces = cut(pieces.withColumn("__bucket", F.pmod(F.hash(key, "potongan"), F.lit(buckets))))
-    cells = pieces.groupBy("panjang", "__bucket").count().collect()  # at most largest x buckets numbers
-    histogram: dict[int, int] = {}
-    offsets = []
+    pieces = pieces.join(F.broadcast(spread), "panjang").withColumn("__bucket", F.pmod(F.hash(key, "potongan"), F.col("__buckets"))).drop("__buckets")
+    cells = pieces.where(F.col("panjang").isin([s for s, n in groups.items() if n > 1])).groupBy("panjang", "__bucket").count().collect()
+    offsets = [(s, 0, 0) for s, n in groups.items() if n == 1]
+    placed_so_far: dict[int, int] = {}
     for r in sorted(cells, key=lambda r: (r["panjang"], r["__bucket"])):
-        offsets.append((r["panjang"], r["__bucket"], histogram.get(r["panjang"], 0)))
-        histogram[r["panjang"]] = histogram.get(r["panjang"], 0) + r["count"]
-    spark = items.sparkSession
+        offsets.append((r["panjang"], r["__bucket"], placed_so_far.get(r["panjang"], 0)))
+        placed_so_far[r["panjang"]] = offsets[-1][2] + r["count"]
     made = spark.sparkContext.broadcast(plan(histogram, capacities))
     offset = F.broadcast(spark.createDataFrame(offsets, "panjang int, __bucket int, __offset long"))
     order = Window.partitionBy("panjang", "__bucket").orderBy(key, "potongan")

@@ -61,6 +61,17 @@ def test_rows(spark):
     assert packing.fill(packing.packed(df, "doc_id", "n", (512, 1024, 2048))).count() >= 1
 
 
+def test_a_size_of_many_items_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BUCKET", 50)
+    df = spark.createDataFrame([(i, 300) for i in range(700)] + [(1000 + i, 1 + i) for i in range(300)], "doc_id long, n long")
+    made = packing.packed(df, "doc_id", "n", (2048,))
+    placed = Counter()
+    for r in made.collect():
+        placed[r.wadah] += r.panjang
+    assert max(placed.values()) <= 2048 and made.count() == 1000 == made.select("doc_id").distinct().count()
+    assert len(placed) <= 1.02 * sum(placed.values()) / 2048 + 1
+
+
 def test_every_document_gets_its_container_of_several_lengths(spark):
     import __spark_entry__ as entry
     from lumbung.llm import tokens
