@@ -132,7 +132,8 @@ def p5_rare_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = {t: [c for c in table(spark, sf_dir, t).columns if c != load] for t, load in LOADS.items()}
-    return _masks(spark, sf_dir, lambda counts: prof.divergence(cut(counts)), columns)  # the counts are used four times
+    found = _masks(spark, sf_dir, lambda counts: prof.divergence(cut(counts)), columns)  # the counts are used four times
+    return found.withColumn("divergensi", F.round("divergensi", 9))
 
 
 def _malformed_sql(name: str, column: str, good: str) -> str:
@@ -210,15 +211,15 @@ QUERIES = {
     "p6_report": p6_report,
 }
 
-def _mask_sql(name: str, columns: list[str]) -> str:
-    steps = "{c}"
+def _mask_sql(name: str, columns: list[str], arrays: tuple[str, ...] = ()) -> str:
+    steps = "CAST({c} AS VARCHAR)"
     for pattern, to in (
         ("[^\\x20-\\x7E\\s]", "chr(1)"), ("[\\t\\n\\x0B\\f\\r]", "chr(2)"), ("[A-Za-z]+", "'A'"), ("[0-9]", "'9'"), ("9{{10,}}", "'9999999999'"),
     ):
         steps = f"regexp_replace({steps}, '{pattern}', {to}, 'g')"
     steps = f"translate({steps}, chr(1) || chr(2), '¿␣')"
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS kolom, CAST({LOADS[name]} AS VARCHAR) AS muat, {steps.format(c=c)} AS topeng FROM {name} WHERE {c} IS NOT NULL"
+        f"SELECT '{c}' AS kolom, CAST({LOADS[name]} AS VARCHAR) AS muat, {steps.format(c='v')} AS topeng FROM (SELECT {LOADS[name]}, {f'unnest({c})' if c in arrays else c} AS v FROM {name}) WHERE v IS NOT NULL"
         for c in columns
     )
 
@@ -231,6 +232,41 @@ P5_RARE_SQL = " UNION ALL ".join(
     for t, columns in MASKED.items()
 )
 
+# The columns of the profiled tables, arrays apart.
+_COLUMNS = {
+    "silver_penelitian": (
+        ("judul_proposal", "ketua_peneliti", "jenis", "status", "skema", "scope", "sdgs", "advisor", "usulan_biaya", "status_proposal", "tahun", "prodi", "fakultas", "id", "muat_id", "dimuat_pada"),
+        ("nip_ketua_peneliti", "nim_anggota_mahasiswa", "nama_anggota_mahasiswa", "nip_anggota_dosen", "nama_anggota_dosen"),
+    ),
+    "silver_sitasi": (
+        (
+            "fakultas", "judul_proposal", "sitasi", "doi", "prodi", "ketua_peneliti", "tanggal_terbit_hari", "tanggal_terbit_bulan", "tanggal_terbit_tahun", "tanggal_terbit_timestamp",
+            "jurnal", "jurnal_kategori", "jurnal_nama", "jurnal_volume", "jurnal_issue", "jurnal_halaman", "jurnal_tahun", "id", "muat_id", "dimuat_pada",
+        ),
+        (),
+    ),
+    "dq_report": (
+        ("run_id", "run_timestamp", "table_name", "column_name", "dimension", "metric", "total_records", "failed_records", "score", "threshold", "status"),
+        (),
+    ),
+}
+P5_MASKS_SQL = " UNION ALL ".join(
+    f"""SELECT '{t}' AS tabel, kolom, topeng, n AS baris, n / semua AS bagian, CASE WHEN n / semua < 0.001 THEN 'jarang' ELSE 'dominan' END AS jenis FROM (
+        SELECT kolom, topeng, n, CAST(sum(n) OVER (PARTITION BY kolom) AS BIGINT) AS semua FROM (
+            SELECT kolom, topeng, count(*) AS n FROM ({_mask_sql(t, [*plain, *arrays], arrays)}) GROUP BY kolom, topeng))"""
+    for t, (plain, arrays) in _COLUMNS.items()
+)
+P5_DIVERGENCE_SQL = " UNION ALL ".join(
+    f"""SELECT '{t}' AS tabel, * FROM (WITH c AS MATERIALIZED (SELECT kolom, muat, topeng, count(*) AS n FROM ({_mask_sql(t, [x for x in (*plain, *arrays) if x != LOADS[t]], arrays)}) GROUP BY ALL),
+        l AS (SELECT kolom, muat, sum(n) AS n FROM c GROUP BY ALL), k AS (SELECT kolom, sum(n) AS n FROM c GROUP BY ALL), m AS (SELECT kolom, topeng, sum(n) AS n FROM c GROUP BY ALL),
+        p AS (SELECT l.kolom, l.muat, l.n, coalesce(c.n, 0) / l.n AS p, (m.n - coalesce(c.n, 0)) / nullif(k.n - l.n, 0) AS q
+            FROM l JOIN k USING (kolom) JOIN m USING (kolom) LEFT JOIN c ON c.kolom = l.kolom AND c.muat = l.muat AND c.topeng = m.topeng)
+        SELECT kolom, muat, CAST(n AS BIGINT) AS baris, round(sum(CASE WHEN q IS NOT NULL THEN CASE WHEN p > 0 THEN 0.5 * p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN 0.5 * q * log2(2 * q / (p + q)) ELSE 0 END END), 9) AS divergensi
+        FROM p GROUP BY kolom, muat, n)"""
+    for t, (plain, arrays) in _COLUMNS.items()
+)
+
+
 def _p2_sql(types: bool = False) -> str:
     names = {drift.squash(h): c for c in LAYOUT.columns for h in (c, *HEADERS.get(c, ()))}
     meant = " ".join(f"WHEN '{k}' THEN '{c}'" for k, c in names.items())
@@ -260,6 +296,8 @@ ORACLE = {
     "p2_types": _p2_sql(types=True),
     "p5_found": P5_SQL,
     "p5_rare_masks": P5_RARE_SQL,
+    "p5_masks": P5_MASKS_SQL,
+    "p5_divergence": P5_DIVERGENCE_SQL,
     "p6_found": f"SELECT DISTINCT sitasi_id, kolom, sebab FROM ({_P6_ROWS}) WHERE sebab IS NOT NULL",
     "p6_report": f"""SELECT 'fact_sitasi' AS tabel, kolom, tahun, triwulan, sebab, count(*) AS baris
         FROM ({_P6_ROWS}) WHERE sebab IS NOT NULL GROUP BY kolom, tahun, triwulan, sebab""",
