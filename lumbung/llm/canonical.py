@@ -408,22 +408,11 @@ def mapped(
     named like the new ones are replaced. ``shards``: None chooses one broadcast tree or shards by the counted entries; the
     result is the same. A group of the sharded search holds about ``group`` distinct values and the entries of one shard.
     """
-    spark = values.sparkSession
-    entries = reference.where(F.col(name).isNotNull() & F.col(key).isNotNull()).select(F.col(key).cast("int").alias("k"), F.col(name).alias("n"))
-    if shards is None:
-        shards = -(-entries.count() // BROADCAST_ENTRIES)
     base = values.drop("ref_id", "biaya")
     # Equal values are searched once; the rows of values that hold more than a hundredth of all rows never shuffle.
     counted = cut(base.select(F.col(column).alias("v")).where(F.col("v").isNotNull()).groupBy("v").count())
-    if shards <= 1:
-        listed = {r.k: r.n for r in entries.orderBy("k").collect()}  # at most BROADCAST_ENTRIES
-        broadcast = spark.sparkContext.broadcast((uuid.uuid4().hex, listed, rules))
-        # An own number of partitions: the values are small in bytes but not in work, so AQE must not join their partitions.
-        spread = counted.select("v").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "v")
-        decided = spread.select(F.col("v").alias(column), _match_udf(broadcast)("v").alias("__found"))
-    else:
-        decided = _sharded(counted, entries, rules, shards, group).withColumnRenamed("v", column)
-    out = lookup(base, decided, column, hot_keys(counted, "v"), "left")
+    found = decided(counted, reference, key, name, rules, shards, group).withColumnRenamed("v", column)
+    out = lookup(base, found, column, hot_keys(counted, "v"), "left")
     some = F.col(column).isNotNull()
     return out.select(
         *[F.col(f"`{c}`") for c in base.columns],
@@ -432,6 +421,21 @@ def mapped(
     )
 
 
+def decided(counted: DataFrame, reference: DataFrame, key: str, name: str, rules: Rules, shards: int | None = None, group: int = GROUP_VALUES) -> DataFrame:
+    """(v, __found) of the distinct values ``v`` of a checkpointed frame: __found has ref_id and biaya."""
+    spark = counted.sparkSession
+    entries = reference.where(F.col(name).isNotNull() & F.col(key).isNotNull()).select(F.col(key).cast("int").alias("k"), F.col(name).alias("n"))
+    if shards is None:
+        shards = -(-entries.count() // BROADCAST_ENTRIES)
+    if shards > 1:
+        return _sharded(counted, entries, rules, shards, group)
+    listed = {r.k: r.n for r in entries.orderBy("k").collect()}  # at most BROADCAST_ENTRIES
+    broadcast = spark.sparkContext.broadcast((uuid.uuid4().hex, listed, rules))
+    # An own number of partitions: the values are small in bytes but not in work, so AQE must not join their partitions.
+    spread = counted.select("v").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "v")
+    return spread.select("v", _match_udf(broadcast)("v").alias("__found"))
+
+
 def _sharded(counted: DataFrame, entries: DataFrame, rules: Rules, shards: int, group: int) -> DataFrame:
     """(v, __found): every value meets every shard of the entries, and what they find is decided together."""
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.llm import canonical, packing, stuffing, tokens, variants
-from lumbung.session import ship, table
+from lumbung.operators.skew import hot_keys, lookup
+from lumbung.session import cut, ship, table
 
 
 # Other names of the entries of the reference lists, as entry: names.
@@ -110,16 +111,20 @@ REFERENCES = {"skema": ("dim_skema", "skema_id", "nama_skema"), "sdgs": ("dim_sd
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "silver_penelitian").select("id", *RULES)
+    """The columns are one long frame, so that the table is read once for its distinct values and once for its rows."""
+    entered = table(spark, sf_dir, "silver_penelitian").select("id", *RULES).unpivot("id", list(RULES), "kolom", "nilai")
+    entered = entered.where(F.trim(F.regexp_replace("nilai", r"\s", " ")) != "").withColumn("kunci", F.concat_ws("\u0001", "kolom", "nilai"))
+    counted = cut(entered.groupBy("kolom", "nilai", "kunci").count())
     parts = []
     for column, (name, key, label) in REFERENCES.items():
         reference = table(spark, sf_dir, name).select(key, label)
-        entered = rows.select("id", F.lit(column).alias("kolom"), F.col(column).alias("nilai"))
-        entered = entered.where(F.trim(F.regexp_replace("nilai", r"\s", " ")) != "").distinct()
-        own = reference.select(F.col(label).alias("nilai")).distinct()
-        free = entered.join(own, "nilai", "left_anti")  # broadcast only if the planner measures it small
-        parts.append(canonical.mapped(free, "nilai", reference, key, label, RULES[column]).select("id", "kolom", "ref_id"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
+        own = reference.select(F.col(label).alias("v")).distinct()
+        free = counted.where(F.col("kolom") == column).select(F.col("nilai").alias("v")).join(own, "v", "left_anti")
+        decided = canonical.decided(free, reference, key, label, RULES[column])
+        parts.append(decided.select(F.concat_ws("\u0001", F.lit(column), "v").alias("kunci"), "__found.ref_id"))
+    meant = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    found = lookup(entered.select("id", "kolom", "kunci"), meant, "kunci", hot_keys(counted, "kunci"))
+    return found.select("id", "kolom", "ref_id").distinct()
 
 
 NICKNAMES = 10_000
