@@ -142,7 +142,8 @@ def nicknames(spark: SparkSession, sf_dir: str) -> dict[str, frozenset[str]]:
     return {k: frozenset(v) for k, v in out.items()}
 
 
-def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _mentions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Every mention of a person, and the main rows of the lecturers."""
     lecturers = table(spark, sf_dir, "dim_dosen").select("dosen_id", "nama", "nip")
     has_number = F.col("nip").isNotNull() & (F.col("nip") != "0")
     main = lecturers.where(has_number).select("dosen_id", "nama")
@@ -154,34 +155,45 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     others = lecturers.where(~has_number).select(
         F.lit("dim_dosen").alias("sumber"), F.col("dosen_id").cast("string").alias("id"), F.lit(0).alias("posisi"), F.col("nama").alias("ditulis")
     )
-    mentions = cited.unionByName(members).unionByName(others)
+    return cited.unionByName(members).unionByName(others), main
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mentions, main = _mentions(spark, sf_dir)
     found = variants.mentions_linked(mentions, "ditulis", main, "dosen_id", "nama", nicknames(spark, sf_dir))
     return found.select("sumber", "id", "posisi", "dosen_id").distinct()
 
 
+def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spellings of people without a main row, grouped: ditulis, kelompok."""
+    mentions, main = _mentions(spark, sf_dir)
+    names = cut(mentions.select("ditulis").where(F.col("ditulis").isNotNull()).distinct())
+    linked = variants.link(names, "ditulis", main, "dosen_id", "nama", nicknames(spark, sf_dir))
+    return variants.grouped(names.join(linked, "ditulis", "left_anti"), "ditulis")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
 CONTAINER = 2_048
+LENGTHS = (256, 512, 1_024, CONTAINER)
 
 
 def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in containers of at most 2,048 tokens: the permitted lengths are optimised jointly, the longest where it fills
+    as well, and each container is downsized to its contents."""
     sizes = tokens.measured(table(spark, sf_dir, "documents"), keep=["doc_id"])
-    return packing.packed(sizes, "doc_id", "n_token", (CONTAINER,))
+    return packing.packed(sizes, "doc_id", "n_token", LENGTHS)
 
 
 def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill(p8_packed(spark, sf_dir))
 
 
-LENGTHS = (256, 512, 1_024, CONTAINER)
-
-
 def p8_lengths_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents in containers of several permitted sequence lengths, each container downsized to its contents."""
-    sizes = tokens.measured(table(spark, sf_dir, "documents"), keep=["doc_id"])
-    return packing.packed(sizes, "doc_id", "n_token", LENGTHS)
+    """As ``p8_packed``."""
+    return p8_packed(spark, sf_dir)
 
 
 def p8_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,5 +213,5 @@ def prepared(query):
     return run
 
 
-QUERIES = {q.__name__: prepared(q) for q in (p1_found, p4_found, p7_ids, p8_packed, p8_fill, p8_lengths_packed, p8_lengths, p9_found)}
+QUERIES = {q.__name__: prepared(q) for q in (p1_found, p1_groups, p4_found, p7_ids, p8_packed, p8_fill, p8_lengths_packed, p8_lengths, p9_found)}
 ORACLE: dict[str, str] = {}

@@ -10,6 +10,8 @@ Groups grow by average linkage: every entity is a cluster with its undisputed va
 disputed variant joins the cluster whose members are on average most similar to it. The average is the product with the sum
 of the members' unit vectors, so no pairs of members are formed however large a cluster is.
 
+Names that no entity claims are grouped among themselves by average-linkage clustering (``grouped``).
+
 Only the trigram weights (at most 28**3 entries) and the nicknames (a bounded list) are broadcast.
 """
 
@@ -35,6 +37,7 @@ from lumbung.session import cut
 COSINE = 0.38
 MAX_COST = 2.6
 DISPUTED = 0.3
+LINKAGE = 0.6
 BLOCK = 32_768
 GROUP = 4_000
 
@@ -282,18 +285,18 @@ def _parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _joined(rest: DataFrame, known: DataFrame, shared) -> DataFrame:
-    """The similarity join: (__core, __entity_core, __cosine, __cost) of each name's rivals in each block."""
+def _multiplied(rest: DataFrame, known: DataFrame, shared, work, schema: str) -> DataFrame:
+    """Every group of names (``__core``) against every block of entities (``__entity_core``): rows of ``work(core, block)``."""
     blocks = max(1, -(-known.count() // BLOCK))
     groups = max(1, -(-rest.count() // GROUP))
+    names = [c.split()[0] for c in schema.split(", ")]
 
-    def multiply(key: tuple, names: pd.DataFrame, entities: pd.DataFrame) -> pd.DataFrame:
-        places, squares, align, built = _known(shared)
+    def multiply(key: tuple, cores: pd.DataFrame, entities: pd.DataFrame) -> pd.DataFrame:
+        places, squares, _, built = _known(shared)
         if key[0] not in built:
             built[key[0]] = Block(sorted(entities["__entity_core"]), places, squares)
         block = built[key[0]]
-        found = [(core, *r) for core in names["__core"] for r in (rivals(core, block.near(core), align) if block.cores else ())]
-        return pd.DataFrame(found, columns=["__core", "__entity_core", "__cosine", "__cost"])
+        return pd.DataFrame([(core, *r) for core in cores["__core"] for r in (work(core, block) if block.cores else ())], columns=names)
 
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
     asking = rest.select("__core", F.pmod(F.xxhash64("__core"), F.lit(groups)).alias("__group"), every(blocks).alias("__block"))
@@ -301,7 +304,19 @@ def _joined(rest: DataFrame, known: DataFrame, shared) -> DataFrame:
     # An own number of partitions: the rows are small in bytes but not in work, so AQE must not join their partitions.
     parts = max(_parts(rest), min(blocks * groups, 10_000))
     sides = [df.repartition(parts, "__block", "__group").groupBy("__block", "__group") for df in (asking, index)]
-    return sides[0].cogroup(sides[1]).applyInPandas(multiply, "__core string, __entity_core string, __cosine double, __cost double")
+    return sides[0].cogroup(sides[1]).applyInPandas(multiply, schema)
+
+
+def _joined(rest: DataFrame, known: DataFrame, shared) -> DataFrame:
+    """The similarity join: (__core, __entity_core, __cosine, __cost) of each name's rivals in each block."""
+    work = lambda core, block: rivals(core, block.near(core), _known(shared)[2])
+    return _multiplied(rest, known, shared, work, "__core string, __entity_core string, __cosine double, __cost double")
+
+
+def _similar(cores: DataFrame, shared, cosine: float) -> DataFrame:
+    """All pairs (__core < __entity_core) of names of at least the cosine."""
+    work = lambda core, block: [(other, c) for c, other in block.near(core, cosine) if core < other]
+    return _multiplied(cores, cores.withColumnRenamed("__core", "__entity_core"), shared, work, "__core string, __entity_core string, __cosine double")
 
 
 def _unit_vectors(rows: DataFrame, core: str, shared, *keep: str) -> DataFrame:
@@ -330,6 +345,14 @@ def _linkage(disputed: DataFrame, members: DataFrame, shared) -> DataFrame:
     return product.join(size, "__entity_core").withColumn("__linkage", F.col("__product") / F.col("__size"))
 
 
+def _shared(cores: DataFrame, nicknames: dict[str, frozenset[str]]):
+    """Broadcast of the trigrams' squared weights by inverse document frequency, under a name of this run, and the nicknames."""
+    frequency = cores.select(F.explode(_grams("__core")).alias("gram")).groupBy("gram").count().orderBy("gram").collect()  # at most 28**3
+    n = sum(r["count"] for r in frequency)
+    squares = {r["gram"]: math.log(1 + n / (1 + r["count"])) ** 2 for r in frequency}
+    return cores.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, squares, nicknames))
+
+
 def link(names: DataFrame, name: str, entities: DataFrame, entity: str, entity_name: str, nicknames: dict[str, frozenset[str]]) -> DataFrame:
     """Distinct ``names`` that mean an entity, as (name, entity).
 
@@ -337,7 +360,6 @@ def link(names: DataFrame, name: str, entities: DataFrame, entity: str, entity_n
     entities whose names are equal but for titles, the one with the same titles is taken, else the smallest key.
     ``nicknames`` maps a nickname to official words.
     """
-    spark = names.sparkSession
     mentioned = cut(names.where(F.col(name).isNotNull()).select(F.col(name), _read(name).alias("__r")).select(name, F.col("__r.core").alias("__core"), F.col("__r.titles").alias("__titles")).where("__core <> ''"))
     listed = entities.where(F.col(entity_name).isNotNull() & F.col(entity).isNotNull()).select(F.col(entity).alias("__entity"), _read(entity_name).alias("__r"))
     listed = cut(listed.select("__entity", F.col("__r.core").alias("__entity_core"), F.col("__r.titles").alias("__titles")).where("__entity_core <> ''"))
@@ -346,17 +368,7 @@ def link(names: DataFrame, name: str, entities: DataFrame, entity: str, entity_n
     equal = F.col("__core") == F.col("__entity_core")
     same = cores.join(known, equal).select("__core", "__entity_core")
     rest = cut(cores.join(known, equal, "left_anti"))
-    frequency = (
-        rest.unionByName(known.select(F.col("__entity_core").alias("__core")))
-        .select(F.explode(_grams("__core")).alias("gram"))
-        .groupBy("gram")
-        .count()
-        .orderBy("gram")
-        .collect()  # letters and blank only: at most 28**3 rows
-    )
-    n = sum(r["count"] for r in frequency)
-    squares = {r["gram"]: math.log(1 + n / (1 + r["count"])) ** 2 for r in frequency}
-    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, squares, nicknames))
+    shared = _shared(rest.unionByName(known.select(F.col("__entity_core").alias("__core"))), nicknames)
     scored = _joined(rest, known.select("__entity_core"), shared)
     # A name's rivals of all blocks; they are few, since each costs hardly more than the least.
     every = Window.partitionBy("__core")
@@ -388,3 +400,36 @@ def mentions_linked(mentions: DataFrame, name: str, entities: DataFrame, entity:
     exact = entities.where(F.col(entity_name).isNotNull()).select(F.col(entity_name).alias(name)).distinct()
     linked = link(counted.select(name), name, entities, entity, entity_name, nicknames).join(exact, name, "left_anti")
     return lookup(mentions.where(F.col(name).isNotNull()), linked, name, hot_keys(counted, name))
+
+
+def grouped(names: DataFrame, name: str, linkage: float = LINKAGE) -> DataFrame:
+    """Distinct ``names`` with ``kelompok``: groups of spellings by average-linkage clustering, named by their least core.
+
+    The similarity join gives all pairs of at least ``linkage``; two clusters whose mean cosine reaches it have at least one such
+    pair, so no merge is missed. Each round merges all clusters that are each other's best (the order of such merges never
+    changes an average-linkage tree), and ends when no mean reaches the threshold. Means come from sums of unit vectors.
+    Null, empty and title-only names give no row.
+    """
+    read_names = names.where(F.col(name).isNotNull()).select(name, _read(name).alias("__r")).select(name, F.col("__r.core").alias("__core")).where("__core <> ''")
+    read_names = cut(read_names)
+    cores = cut(read_names.select("__core").distinct())
+    shared = _shared(cores, {})
+    pairs = cut(_similar(cores, shared, linkage).select(F.col("__core").alias("__a"), F.col("__entity_core").alias("__b")))
+    vectors = cut(_unit_vectors(cores, "__core", shared, "__core"))
+    clusters = cores.select("__core", F.col("__core").alias("kelompok"))
+    while True:
+        of = lambda side: clusters.select(F.col("__core").alias(side), F.col("kelompok").alias(f"{side}c"))  # noqa: B023, E731
+        wanted = pairs.join(of("__a"), "__a").join(of("__b"), "__b").where("__ac <> __bc")
+        wanted = wanted.select(F.least("__ac", "__bc").alias("__x"), F.greatest("__ac", "__bc").alias("__y")).distinct()
+        size = clusters.groupBy("kelompok").agg(F.count("*").alias("n"))
+        sums = vectors.join(clusters, "__core").groupBy("kelompok", "gram").agg(F.sum("weight").alias("w"))
+        one = lambda side: sums.select(F.col("kelompok").alias(side), "gram", F.col("w").alias(f"w{side}"))  # noqa: B023, E731
+        product = wanted.join(one("__x"), "__x").join(one("__y"), ["__y", "gram"]).groupBy("__x", "__y").agg(F.sum(F.col("w__x") * F.col("w__y")).alias("p"))
+        sized = product.join(size.withColumnsRenamed({"kelompok": "__x", "n": "nx"}), "__x").join(size.withColumnsRenamed({"kelompok": "__y", "n": "ny"}), "__y")
+        close = sized.select("__x", "__y", F.round(F.col("p") / (F.col("nx") * F.col("ny")), 12).alias("mean")).where(F.col("mean") >= linkage)
+        pair = F.struct("mean", "__x", "__y")
+        best = close.select(F.explode(F.array("__x", "__y")).alias("c"), pair.alias("pair")).groupBy("c").agg(F.max("pair").alias("pair"))
+        merged = cut(best.groupBy("pair").agg(F.count("*").alias("k")).where("k = 2").select(F.col("pair.__y").alias("kelompok"), F.col("pair.__x").alias("__into")))
+        if not merged.head(1):
+            return read_names.join(clusters, "__core").select(name, "kelompok")
+        clusters = cut(clusters.join(merged, "kelompok", "left").select("__core", F.coalesce("__into", "kelompok").alias("kelompok")))

@@ -121,3 +121,29 @@ def test_average_linkage_is_the_mean_cosine_to_all_members(spark):
     got = {r["__entity_core"]: r["__linkage"] for r in variants._linkage(disputed, members, shared).collect()}
     for c, ms in clusters.items():
         assert abs(got[c] - sum(cosines[names[5], m] for m in ms) / len(ms)) < 1e-9
+
+
+def test_groups_equal_plain_average_linkage(spark):
+    draw = random.Random(8)
+    people = [" ".join(draw.sample(POOL, 3)) for _ in range(25)]
+    typed = set(people)
+    for p in people:
+        for _ in range(4):
+            at = draw.randrange(len(p))
+            typed.add(draw.choice((p[:at] + p[at + 1 :], p[:at] + "e" + p[at:], " ".join(reversed(p.split())), p.replace(p.split()[0], p[0], 1))).strip())
+    names = sorted({" ".join(variants.words_of(t)) for t in typed} - {""})
+    _, cosines = brute(names, names)
+    clusters = [[n] for n in names]
+    while True:
+        means = {(i, j): sum(cosines[a, b] for a in x for b in y) / (len(x) * len(y)) for j, y in enumerate(clusters) for i, x in enumerate(clusters[:j])}
+        (i, j), best = max(means.items(), key=lambda m: m[1])
+        if best < variants.LINKAGE:
+            break
+        clusters[i] += clusters.pop(j)
+    want = {frozenset(c) for c in clusters}
+    rows = [(n,) for n in names] + [(None,), ("",), ("Prof.",)]
+    got = {}
+    for r in variants.grouped(spark.createDataFrame(rows, "nama string"), "nama").collect():
+        got.setdefault(r.kelompok, set()).add(r.nama)
+    assert {frozenset(c) for c in got.values()} == want and 1 < len(want) < len(names) and all(k == min(c) for k, c in got.items())
+    assert variants.grouped(spark.createDataFrame([], "nama string"), "nama").count() == 0
