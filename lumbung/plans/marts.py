@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -135,12 +136,22 @@ def accepted_counts(s: Star, status: str = ACCEPTED) -> DataFrame:
     return accepted_amounts(s, status).drop("usulan_biaya")
 
 
+def all_grants_of(kinds: dict[str, tuple[DataFrame, DataFrame]], status: str = ACCEPTED) -> DataFrame:
+    """Grants of several kinds, (silver, sheet) each, united with the column ``jenis_lembar``."""
+    parts = [_with_members(rows, sheet, status).withColumn("jenis_lembar", F.lit(kind)) for kind, (rows, sheet) in kinds.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def all_grants(s: Star, status: str = ACCEPTED) -> DataFrame:
+    return _with_members(s.grants, s.bronze, status)
+
+
+def _with_members(grants: DataFrame, bronze: DataFrame, status: str) -> DataFrame:
     """Grants with the members as typed in the sheet, joined by normalised title; repeated titles multiply."""
-    sheet = s.bronze.select(
+    sheet = bronze.select(
         F.upper(F.trim("Judul Proposal")).alias("__title"), F.col("Anggota Mahasiswa").alias("nama_anggota_mahasiswa"), F.col("Anggota Dosen").alias("nama_anggota_dosen")
     )
-    rows = s.grants.where(F.col("status") == status).withColumn("__title", F.upper(F.trim("judul_proposal"))).drop("nama_anggota_mahasiswa", "nama_anggota_dosen")
+    rows = grants.where(F.col("status") == status).withColumn("__title", F.upper(F.trim("judul_proposal"))).drop("nama_anggota_mahasiswa", "nama_anggota_dosen")
     own = ("judul_proposal", "ketua_peneliti", "jenis", "status", "scope", "sdgs", "advisor", "usulan_biaya", "status_proposal", "tahun", "prodi", "fakultas", "id")
     return rows.join(sheet, "__title").select(
         *own, F.col("skema").alias("nama_skema"), F.get("nip_ketua_peneliti", F.lit(0)).alias("nip_ketua_peneliti"), "nama_anggota_mahasiswa", "nama_anggota_dosen"

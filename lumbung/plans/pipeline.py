@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from lumbung.functions import keys
 from lumbung.plans import gold, silver
@@ -43,6 +44,28 @@ def compare(old: Manifest, tags: dict[str, str], categories: dict[str, str], now
     return new, sorted({m["category"] for m in new.values() if m["changed"]})
 
 
+_STATEMENT = re.compile(r"""--[^\n]*|/\*.*?\*/|'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.)*"|`[^`]*`|;|[^;'"`/-]+|[/-]""", re.S)
+
+
+def statements(script: str) -> list[str]:
+    """Statements of a SQL script; semicolons in texts, names and comments do not end one. Comments are left out."""
+    out = [""]
+    for piece in _STATEMENT.findall(script):
+        if piece == ";":
+            out.append("")
+        elif not piece.startswith(("--", "/*")):
+            out[-1] += piece
+    return [s.strip() for s in out if s.strip()]
+
+
+def run_script(spark: SparkSession, script: str) -> DataFrame | None:
+    """Run a SQL script statement by statement; the result of the last one, None for an empty script."""
+    result = None
+    for statement in statements(script):
+        result = spark.sql(statement)
+    return result
+
+
 def build_bronze(store: Store, category: str, sheets: Iterable[DataFrame]) -> None:
     from functools import reduce
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.functions import names, text
-from lumbung.plans import governance, quality, repair
+from lumbung.plans import governance, marts, pipeline, quality, repair
 from lumbung.session import scratch, table
 from lumbung.sources import xlsx
 from lumbung.sources.store import Store
@@ -166,3 +166,117 @@ def mapped_names(spark, sf):
     rows = table(spark, sf, "orders").join(people, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", typed.alias("nama"))
     mapping = people.select(F.upper("c_name").alias("dari"), F.col("c_name").alias("menjadi"))
     return names.mapped_names(rows, "nama", mapping)
+
+
+_KIND = "CASE WHEN tahun % 3 = 0 THEN 'penelitian' WHEN tahun % 3 = 1 THEN 'pengabdian' ELSE 'buku_keilmuan' END"
+
+
+@query(f"""SELECT {_KIND.replace('tahun', 's.tahun')} AS jenis_lembar, s.id, s.judul_proposal, br."Anggota Dosen" AS nama_anggota_dosen, br."Anggota Mahasiswa" AS nama_anggota_mahasiswa
+    FROM silver_penelitian s JOIN bronze_penelitian br ON upper(trim(br."Judul Proposal")) = upper(trim(s.judul_proposal)) AND {_KIND.replace('tahun', 's.tahun')} = {_KIND.replace('tahun', 'br.tahun')}
+    WHERE s.status = 'diterima'""")
+def grants_of_three_sheets(spark, sf):
+    """The dataset of all grants over three kinds of sheets, each joined with its own sheet and then united. The kinds are years here."""
+    kinds = {"penelitian": 0, "pengabdian": 1, "buku_keilmuan": 2}
+    silver_rows, sheet = table(spark, sf, "silver_penelitian"), table(spark, sf, "bronze_penelitian")
+    of = lambda rows, k: rows.where(F.col("tahun") % 3 == k)
+    made = marts.all_grants_of({name: (of(silver_rows, k), of(sheet, k)) for name, k in kinds.items()})
+    return made.select("jenis_lembar", "id", "judul_proposal", "nama_anggota_dosen", "nama_anggota_mahasiswa")
+
+
+@query("SELECT * FROM (VALUES (1, 'baru', 'string', 'catatan baru'), (2, 'o_orderkey', 'bigint', NULL), (3, 'jumlah', 'bigint', 'banyak'), (4, 'rasio', 'double', NULL)) v(urutan, kolom, tipe, komentar)")
+def alter_columns(spark, sf):
+    """Columns after types were widened, comments set, one moved to the front and one renamed."""
+    t = Store(spark, scratch(spark, "orders")).table("silver.orders")
+    t.create_or_replace(table(spark, sf, "orders").select("o_orderkey", F.lit(1).alias("n"), F.lit(0.5).cast("float").alias("rasio")))
+    t.alter_column("n", "bigint", "banyak")
+    t.alter_column("rasio", "double")
+    t.add_column("baru", "string")
+    t.alter_column("baru", comment="catatan baru", after="")
+    t.rename_column("n", "jumlah")
+    rows = [(k, *c) for k, c in enumerate(t.schema(), 1)]
+    return spark.createDataFrame(rows, "urutan int, kolom string, tipe string, komentar string")
+
+
+@query("SELECT n_nationkey, n_name, NULL AS catatan FROM nation UNION ALL SELECT n_nationkey + 100, n_name, 'baru' FROM nation")
+def schema_union(spark, sf):
+    """A column more is refused unless the schemas are united by name."""
+    t = Store(spark, scratch(spark, "nation")).table("silver.nation")
+    nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    t.create_or_replace(nation)
+    more = nation.select(F.lit("baru").alias("catatan"), (F.col("n_nationkey") + 100).alias("n_nationkey"), "n_name")
+    try:
+        t.append(more)
+    except ValueError:
+        t.append(more, merge_schema=True)
+    return t.read()
+
+
+@query("SELECT 'pemilik' AS kunci, 'lab' AS nilai UNION ALL SELECT 'umur', '2'")
+def table_properties(spark, sf):
+    """Properties set, replaced and unset; a table that exists is not made anew."""
+    t = Store(spark, scratch(spark, "nation")).table("silver.nation")
+    t.create_or_replace(table(spark, sf, "nation"), properties={"umur": "1", "sementara": "x"})
+    if t.create_if_not_exists("id int"):
+        raise AssertionError("the table was made anew")
+    t.set_properties(umur="2", pemilik="lab")
+    t.unset_properties("sementara", "tidak_ada")
+    return spark.createDataFrame(sorted(t.properties().items()), "kunci string, nilai string")
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+def arrow_result(spark, sf):
+    """A filtered scan of a versioned table fetched as an Arrow table, and row by row."""
+    t = Store(spark, scratch(spark, "nation")).table("silver.nation")
+    t.create_or_replace(table(spark, sf, "nation"), [("n_regionkey", "identity")])
+    found = t.read(where=[("n_regionkey", "=", 1)]).select("n_nationkey", "n_name")
+    fetched = found.toArrow()
+    if sorted(r["n_nationkey"] for r in found.toLocalIterator()) != sorted(fetched["n_nationkey"].to_pylist()):
+        raise AssertionError("the results differ")
+    return spark.createDataFrame(fetched)
+
+
+SCRIPT = """
+-- Priorities of late orders; a semicolon in a text or a comment ends nothing: ;
+CREATE OR REPLACE TEMPORARY VIEW pesanan_lambat AS SELECT o_orderpriority, o_totalprice, 'a;b' AS teks FROM pesanan WHERE o_orderdate >= '1997-01-01';
+/* counted ; by priority */
+SELECT o_orderpriority, teks, count(*) AS n FROM pesanan_lambat GROUP BY o_orderpriority, teks;
+"""
+
+
+@query("SELECT o_orderpriority, 'a;b' AS teks, count(*) AS n FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' GROUP BY o_orderpriority")
+def sql_script(spark, sf):
+    """A script of several statements; the last one is the result."""
+    table(spark, sf, "orders").createOrReplaceTempView("pesanan")
+    return pipeline.run_script(spark, SCRIPT)
+
+
+@query("SELECT * FROM (VALUES ('silver.penelitian', true), ('silver.sitasi', false), ('gold.dim_dosen', true), ('gold.dim_hibah_proposal', true), ('gold.fact_hibah', true), ('gold.fact_dosen_hibah', true)) v(tabel, dibangun)")
+def selective_rebuild(spark, sf):
+    """Tables that a change of one category builds anew: its silver table and the whole gold layer."""
+    store = _office(spark, sf)
+    store.table("silver.sitasi").create_or_replace(table(spark, sf, "silver_sitasi"))
+    pipeline.run(store, ["penelitian"])
+    names = ("silver.penelitian", "silver.sitasi", "gold.dim_dosen", "gold.dim_hibah_proposal", "gold.fact_hibah", "gold.fact_dosen_hibah")
+    before = {n: store.table(n).snapshots().count() for n in names}
+    pipeline.run(store, ["penelitian"])
+    return spark.createDataFrame([(n, store.table(n).snapshots().count() > before[n]) for n in names], "tabel string, dibangun boolean")
+
+
+def _office(spark: SparkSession, sf: str) -> Store:
+    store = Store(spark, scratch(spark, "kantor"))
+    store.table("bronze.penelitian").create_or_replace(table(spark, sf, "bronze_penelitian").drop("baris_id"))
+    store.table("gold.dim_skema").create_or_replace(table(spark, sf, "dim_skema"))
+    store.table("gold.dim_sdgs").create_or_replace(table(spark, sf, "dim_sdgs"))
+    return store
+
+
+@query("SELECT CAST(count(*) > 0 AS INTEGER) AS gagal_dulu, 0 AS gagal_kini, count(*) FILTER (WHERE true) * 0 + (SELECT count(*) FROM bronze_penelitian) - count(*) AS baris FROM bronze_penelitian WHERE \"Judul Proposal\" IS NULL OR lower(trim(\"Judul Proposal\")) IN ('', 'nan', 'none', 'null', 'n/a', 'na', '-', 'nat', 'tidak ada')")
+def check_repair_check(spark, sf):
+    """Failed checks before and after the repair that removes rows without a title, and the rows that are left."""
+    store = _office(spark, sf)
+    pipeline.run(store, ["penelitian"])
+    checks = lambda s: quality.run(spark, {"silver.penelitian": (s.table("silver.penelitian").read(), quality.Rules(mandatory=("judul_proposal",)))})
+    audit = lambda r: quality.title_counts(r, "judul_proposal")
+    purge = lambda s: repair.audit_and_publish(s, "silver.penelitian", lambda r: repair.purge_blank(r, "judul_proposal"), audit, repair.PURGE_GATES)
+    before, after = pipeline.check_repair_check(store, checks, [purge])
+    return store.table("silver.penelitian").read().agg(F.lit(before).alias("gagal_dulu"), F.lit(after).alias("gagal_kini"), F.count("*").alias("baris"))
