@@ -11,6 +11,7 @@ are a bounded broadcast) are joined apart from the others, which shuffle.
 
 from __future__ import annotations
 
+import math
 import warnings
 from dataclasses import dataclass
 
@@ -22,6 +23,7 @@ from lumbung.session import cut
 
 BROADCAST_KEYS = 500_000
 MAX_FILTER_BITS = 64 * 1024 * 1024  # 8 MB, also the planner's own bound
+MAX_FILTERS = 16  # for some 110 million parents
 BITS_PER_KEY = 9.6  # one false positive in a hundred
 
 MISSING, LATE, REMOVED = "hilang", "terlambat", "dihapus"
@@ -55,8 +57,9 @@ def parents(parent: DataFrame, ref: Reference) -> DataFrame:
 def bloom(keys: DataFrame, n: int) -> Column | None:
     """A predicate on ``__key`` that is false only for keys which are surely absent; None without a JVM session.
 
-    The filter is a scalar subquery, aggregated by the executors and sent to them once; its size is bounded by MAX_FILTER_BITS: with more
-    keys it lets more rows through to the exact join, so results never depend on it.
+    The filter is a scalar subquery, aggregated by the executors and sent to them once. Where one of MAX_FILTER_BITS is too small,
+    the keys are shared out to as many filters as they need by a hash, at most MAX_FILTERS, each tested for its own keys; with still
+    more keys they let more rows through to the exact join, so results never depend on them.
     """
     try:
         from pyspark.sql.classic.column import Column as Classic
@@ -64,11 +67,22 @@ def bloom(keys: DataFrame, n: int) -> Column | None:
         jvm = keys.sparkSession._jvm
         util, catalyst = jvm.org.apache.spark.sql.classic.ExpressionUtils, jvm.org.apache.spark.sql.catalyst.expressions
         expression = lambda c: util.expression(c._jc)
-        bits = min(MAX_FILTER_BITS, max(1024, int(n * BITS_PER_KEY)))
-        sizes = [expression(F.lit(x).cast("bigint")) for x in (max(n, 1), bits)]
-        built = catalyst.aggregate.BloomFilterAggregate(expression(F.xxhash64("__key")), *sizes).toAggregateExpression()
-        one = keys.agg(Classic(util.column(built)).alias("filter")).scalar()
-        return Classic(util.column(catalyst.BloomFilterMightContain(expression(one), expression(F.xxhash64("__key")))))
+        count = max(1, min(MAX_FILTERS, math.ceil(n * BITS_PER_KEY / MAX_FILTER_BITS)))
+        bits = min(MAX_FILTER_BITS, max(1024, math.ceil(n * BITS_PER_KEY / count)))
+        share = F.pmod(F.hash("__key"), F.lit(count))
+
+        def one(k: int) -> Column:
+            sizes = [expression(F.lit(x).cast("bigint")) for x in (max(n // count, 1), bits)]
+            built = catalyst.aggregate.BloomFilterAggregate(expression(F.xxhash64("__key")), *sizes).toAggregateExpression()
+            mine = keys if count == 1 else keys.where(share == k)
+            made = mine.agg(Classic(util.column(built)).alias("filter")).scalar()
+            # An empty share has no filter, and then none of its keys is there.
+            return F.coalesce(Classic(util.column(catalyst.BloomFilterMightContain(expression(made), expression(F.xxhash64("__key"))))), F.lit(False))
+
+        found = one(count - 1)
+        for k in range(count - 1):
+            found = F.when(share == k, one(k)).otherwise(found)
+        return found
     except (AttributeError, ImportError, TypeError) as e:
         warnings.warn(f"no Bloom filter in this session ({e}); every reference meets the exact join", stacklevel=2)
         return None

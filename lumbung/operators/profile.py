@@ -6,9 +6,9 @@ tells a four-digit from a ten-digit number. Masks are mined per column and load:
 values are rare-mask violations, and the Jensen-Shannon divergence of a load's masks from those of all other loads tells a
 load whose values are built differently.
 
-A format rule is decided on the mask wherever the mask settles it (``bad`` or ``good`` patterns); only values of the
-remaining masks are tested by the exact pattern. Everything is built-in expressions and map-side combined aggregates; the
-only tables that are not spread are those of loads and of mask counts.
+A format rule is decided on the mined masks wherever a mask settles it (``bad`` or ``good`` patterns), once a mask; rows find
+the verdict of their mask, and only values of the remaining masks are tested by the exact pattern. Everything is built-in
+expressions and map-side combined aggregates; the only tables that are not spread are those of loads and of mask counts.
 """
 
 from __future__ import annotations
@@ -18,6 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumbung.operators.skew import hot_keys, lookup
+from lumbung.session import cut
+
 RARE = 0.001
 DIGITS = 10
 NUMERIC = {"tinyint", "smallint", "int", "bigint", "float", "double", "decimal"}
@@ -41,21 +44,34 @@ class Format:
     exact: str | None  # pattern of well-formed values; None: the mask settles every value
     good: str | None = None  # masks of well-formed values only
 
-    def malformed(self, value: Column) -> Column:
-        shape = mask(value)
-        verdict = F.when(shape.rlike(self.bad), True)
+    def verdict(self, shape: Column) -> Column:
+        """What a mask says: true for malformed, false for well-formed, null where the value must be looked at."""
+        out = F.when(shape.rlike(self.bad), True)
         if self.good is not None:
-            verdict = verdict.when(shape.rlike(self.good), False)
-        if self.exact is not None:
-            verdict = verdict.otherwise(~value.rlike(self.exact))
-        else:
-            verdict = verdict.otherwise(False)
-        return value.isNotNull() & verdict
+            out = out.when(shape.rlike(self.good), False)
+        return out.otherwise(F.lit(None) if self.exact is not None else F.lit(False))
+
+    def broken(self, verdict: Column, value: Column) -> Column:
+        """The verdict, or the exact pattern where there is none."""
+        return F.coalesce(verdict, ~value.rlike(self.exact)) if self.exact is not None else verdict
+
+    def malformed(self, value: Column) -> Column:
+        """The same for a single value, without mining."""
+        return value.isNotNull() & self.broken(self.verdict(mask(value)), value)
 
 
 def malformed(rows: DataFrame, column: str, fmt: Format) -> DataFrame:
-    """Rows whose non-null value breaks the format."""
-    return rows.where(fmt.malformed(F.col(column)))
+    """Rows whose non-null value breaks the format.
+
+    The column's masks are mined and each mask gets its verdict once. Dominant masks (more than a hundredth of the values, so at
+    most a hundred) go to the rows, which stay where they are; only rows of rarer masks meet their verdicts in a shuffle. The exact
+    pattern sees only values of masks without a verdict. Repeated rows stay repeated; an empty table has no masks.
+    """
+    shaped = rows.where(F.col(column).isNotNull()).withColumn("__mask", mask(F.col(column)))
+    mined = cut(shaped.groupBy("__mask").count())
+    verdicts = mined.select("__mask", fmt.verdict(F.col("__mask")).alias("__verdict"))
+    judged = lookup(shaped, verdicts, "__mask", hot_keys(mined, "__mask"))
+    return judged.where(fmt.broken(F.col("__verdict"), F.col(column))).select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
 def inconsistent(score: Column, total: Column, failed: Column, tolerance: float) -> Column:

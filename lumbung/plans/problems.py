@@ -61,6 +61,15 @@ def p2_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.alternatives(table(spark, sf_dir, "raw_penelitian"), "berkas_id", "rekaman", LEARNED)
 
 
+def p2_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of each column of the consistent table by file."""
+    rows = p2_table(spark, sf_dir)
+    raw = set(table(spark, sf_dir, "raw_penelitian").columns)
+    names = [c for c in rows.columns if c not in raw and c != "tahun" and not any(c == f"{b} [{t}]" for b in LAYOUT.branches for t in drift.TAGS)]
+    counted = rows.groupBy("berkas_id").agg(*[F.count(f"`{c}`").alias(c) for c in names])
+    return counted.unpivot("berkas_id", [f"`{c}`" for c in names], "kolom", "nilai").where("nilai > 0")
+
+
 MEMBER_COLUMNS = ("Anggota Dosen", "Anggota Mahasiswa")
 
 
@@ -201,6 +210,7 @@ QUERIES = {
     "p2_found": p2_found,
     "p2_table": p2_table,
     "p2_types": p2_types,
+    "p2_filled": p2_filled,
     "p3_found": p3_found,
     "p5_found": p5_found,
     "p5_profile": p5_profile,
@@ -267,7 +277,7 @@ P5_DIVERGENCE_SQL = " UNION ALL ".join(
 )
 
 
-def _p2_sql(types: bool = False) -> str:
+def _p2_sql(types: bool = False, filled: bool = False) -> str:
     names = {drift.squash(h): c for c in LAYOUT.columns for h in (c, *HEADERS.get(c, ()))}
     meant = " ".join(f"WHEN '{k}' THEN '{c}'" for k, c in names.items())
     squashed = r"regexp_replace(regexp_replace(lower(header), '\([^)]*\)', '', 'g'), '[^a-z0-9]', '', 'g')"
@@ -275,6 +285,8 @@ def _p2_sql(types: bool = False) -> str:
         WHEN 'VARCHAR' THEN 3 WHEN 'BOOLEAN' THEN 4 WHEN 'OBJECT' THEN 5 WHEN 'ARRAY' THEN 6 END"""
     cells = f"""WITH cells AS (SELECT berkas_id, unnest(json_keys(rekaman)) AS header, rekaman FROM raw_penelitian WHERE json_valid(rekaman)),
     counted AS (SELECT berkas_id, header, {kinds} AS t, count(*) AS n FROM cells GROUP BY ALL)"""
+    if filled:
+        return cells + f""" SELECT berkas_id, CASE {squashed} {meant} ELSE header END AS kolom, CAST(sum(n) AS BIGINT) AS nilai FROM counted WHERE t IS NOT NULL GROUP BY 1, 2"""
     if types:
         return cells + f""" SELECT CASE {squashed} {meant} ELSE header END AS kolom, ['bulat', 'desimal', 'string', 'boolean', 'objek', 'larik'][t] AS tipe,
             CAST(sum(n) AS BIGINT) AS nilai, count(DISTINCT berkas_id) AS berkas, count(DISTINCT header) AS header, min(berkas_id) AS berkas_pertama
@@ -294,6 +306,7 @@ def _p2_sql(types: bool = False) -> str:
 ORACLE = {
     "p2_found": _p2_sql(),
     "p2_types": _p2_sql(types=True),
+    "p2_filled": _p2_sql(filled=True),
     "p5_found": P5_SQL,
     "p5_rare_masks": P5_RARE_SQL,
     "p5_masks": P5_MASKS_SQL,

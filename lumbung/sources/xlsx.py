@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.window import Window
 
 from lumbung.session import cut
 from lumbung.sources.store import Files
@@ -293,8 +292,3 @@ def save(spark: SparkSession, path: str, sheets: dict[str, DataFrame]) -> None:
 def _letters(k: int) -> str:
     """The name of a column: A, B, ..., Z, AA, ..."""
     return (_letters(k // 26 - 1) if k >= 26 else "") + chr(65 + k % 26)
-
-
-def numbered(rows: DataFrame, *order: str) -> DataFrame:
-    """A row number for frames that come without one; all rows pass one task, so only for single sheets."""
-    return rows.withColumn("row", F.row_number().over(Window.orderBy(*order)))

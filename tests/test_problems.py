@@ -89,6 +89,32 @@ def test_loads_and_profile(spark):
     assert profile.rare_masks(mixed, 0.5).select("topeng").collect()[0][0] == "A"
 
 
+def test_several_filters_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(orphans, "MAX_FILTER_BITS", 1024)
+    keys = spark.range(0, 3000, 3).select(F.col("id").cast("int").alias("k"), F.lit(T1).alias("dimuat_pada"), F.lit(None).cast("timestamp").alias("dihapus_pada"))
+    facts = spark.range(3000).select(F.col("id").cast("int").alias("fk"), F.lit(T2).alias("dimuat_pada"))
+    for parents in (keys, keys.limit(3)):
+        there = {r.k for r in parents.collect()}
+        got = orphans.orphans(facts, parents, orphans.Reference("fk", "k")).collect()
+        assert {r.fk for r in got} == set(range(3000)) - there and len(got) == 3000 - len(there)
+    distinct = orphans.parents(keys, orphans.Reference("fk", "k"))
+    passed = facts.withColumn("__key", F.col("fk")).where(orphans.bloom(distinct, 1000)).count()
+    assert 1000 <= passed < 1200
+
+
+def test_mined_verdicts_equal_a_look_at_each_value(spark):
+    from lumbung.plans.problems import DOI, TITLE
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/silver_penelitian.parquet").select("id", "judul_proposal")
+    extra = spark.createDataFrame([("a", None), ("b", ""), ("c", "satu dua tiga empat " * 800), ("d", "A"), ("d", "A")], "id string, judul_proposal string")
+    rows = rows.unionByName(extra).withColumn("kolom", F.lit(1))
+    doi = spark.read.parquet("/root/testdata/sf0.01/silver_sitasi.parquet").select("id", "doi")
+    for df, column, fmt in ((rows, "judul_proposal", TITLE), (doi, "doi", DOI), (doi.limit(0), "doi", DOI)):
+        want = sorted(map(str, df.where(fmt.malformed(F.col(column))).collect()))
+        found = profile.malformed(df, column, fmt)
+        assert sorted(map(str, found.collect())) == want and found.columns == df.columns
+
+
 def test_masks_of_every_column(spark):
     import __spark_entry__ as entry
     from lumbung.plans.problems import LOADS
