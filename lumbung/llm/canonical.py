@@ -319,7 +319,7 @@ class Matcher:
 
     @staticmethod
     def _radius(query: str) -> int:
-        return 0 if len(query) < 5 else min(6, max(1, round(len(query) * 0.2)))
+        return 0 if len(query) < 5 else max(1, round(len(query) * 0.2))
 
     def _begun(self, form: str, most: int | None = None) -> dict[int, list[str]]:
         """Entries with the names that begin with ``form``; the first ``most`` entries are enough to tell one from several."""
