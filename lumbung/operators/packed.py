@@ -418,14 +418,25 @@ def _with_counts(model: Model, what, kind: T.DataType):
     return run
 
 
-def fitted(counts: DataFrame) -> Model:
-    """The model that counts of values, suffixes and delimiters give; only its tables come to the driver."""
+Stats = dict[tuple[str, int, str], tuple[float, int]]
+
+
+def statistics(counts: DataFrame) -> Stats:
+    """Sums of ``n`` and numbers of values that are ``fresh`` by kind of value, words and delimiter: at most two dozen entries."""
     kind = F.substring("value", 1, 1)
     words = F.when(kind.isin("n", "s"), F.least(F.lit(LENGTHS - 1), F.greatest(F.lit(1), F.size(F.split("value", " "))))).otherwise(0)
     by = F.when(kind.isin("d", "D"), F.substring("value", 3, 9)).otherwise("")
-    stats = counts.groupBy(kind.alias("kind"), words.alias("words"), by.alias("by")).agg(F.sum("n").alias("n"), F.count("*").alias("fresh")).collect()
-    found = {(r["kind"], r["words"], r["by"]): (r["n"], r["fresh"]) for r in stats}
-    get = lambda kind, words=0, by="": found.get((kind, words, by), (0.0, 0))
+    found = counts.groupBy(kind.alias("kind"), words.alias("words"), by.alias("by")).agg(F.sum("n").alias("n"), F.count_if("fresh").alias("fresh"))
+    return {(r["kind"], r["words"], r["by"]): (r["n"], r["fresh"]) for r in found.collect()}
+
+
+def fitted(*known: Stats) -> Model:
+    """The model that counts of values, suffixes and delimiters give."""
+
+    def get(kind: str, words: int = 0, by: str = "") -> tuple[float, int]:
+        own = [s[kind, words, by] for s in known if (kind, words, by) in s]
+        return sum(n for n, _ in own), sum(d for _, d in own)
+
     every = range(1, LENGTHS)
     total = sum(get("n", w)[0] for w in every)
     shares = [0.0] + [(get("n", w)[0] + 0.05) / (total + 0.05 * (LENGTHS - 1)) for w in every]
@@ -452,15 +463,15 @@ def split(rows: DataFrame, text: str, rounds: int = ROUNDS) -> DataFrame:
     unclear = cut(opened.groupBy("__atoms").agg(F.count("*").alias("__times")))
     edges = cut(unclear.select("__atoms", F.explode(_lattice_values("__atoms")).alias("value")))
     often = hot_keys(edges.groupBy("value").count(), "value")
-    wanted = edges.select("value").distinct()
-    # Values of plain fields that no lattice asks for still count, by their lengths.
-    plain = cut(sure.groupBy(F.concat(F.lit("n:"), _native_core(F.col("nama"))).alias("value")).agg(F.count("*").cast("double").alias("n")))
-    counts, before = plain, None
-    model = fitted(counts)
+    # Of the values of plain fields, the rounds need only those that lattices ask for; all count by their lengths.
+    plain = sure.groupBy(F.concat(F.lit("n:"), _native_core(F.col("nama"))).alias("value")).agg(F.count("*").cast("double").alias("n"))
+    plain = cut(plain.withColumn("fresh", F.lit(True)))
+    about = statistics(plain)
+    asked = cut(plain.join(edges.select("value").distinct(), "value", "left_semi").select("value", "n", F.lit(False).alias("taught")))
+    counts, model = asked.select("value", "n"), fitted(about)
 
     def known(counts: DataFrame) -> DataFrame:
-        met = lookup(edges, counts.join(wanted, "value", "left_semi"), "value", often, "left")
-        return met.groupBy("__atoms").agg(F.collect_list(F.struct("value", "n")).alias("__known"))
+        return lookup(edges, counts, "value", often, "left").groupBy("__atoms").agg(F.collect_list(F.struct("value", "n")).alias("__known"))
 
     for _ in range(rounds):
         teach = _with_counts(model, lambda atoms, found, model=model: list(expected(atoms, found, model).items()), _TAUGHT)
@@ -468,9 +479,9 @@ def split(rows: DataFrame, text: str, rounds: int = ROUNDS) -> DataFrame:
         # A field alone must not teach itself: of what lattices teach about a value or suffix, one field's worth is taken off.
         own, learned = (F.coalesce(F.sum(F.when(t, F.col("n"))), F.lit(0.0)) for t in (~F.col("taught"), F.col("taught")))
         shared = F.when(F.col("value").rlike("^[ns]:"), F.greatest(learned - 1.0, F.lit(0.0))).otherwise(learned)
-        counts = plain.withColumn("taught", F.lit(False)).unionByName(taught).groupBy("value").agg((own + shared).alias("n"))
-        counts = cut(counts.where("n > 0"))
-        before, model = model, fitted(counts)
+        both = cut(asked.unionByName(taught).groupBy("value").agg(own.alias("own"), shared.alias("shared")).where("own + shared > 0"))
+        counts, before = both.select("value", (F.col("own") + F.col("shared")).alias("n")), model
+        model = fitted(about, statistics(both.select("value", F.col("shared").alias("n"), (F.col("own") == 0).alias("fresh"))))
         if all(abs(model.parts[by] - before.parts[by]) < STILL for by in OPEN):
             break
     choose = _with_counts(model, lambda atoms, found: members(atoms, decode(atoms, found, model)), _MEMBERS)
