@@ -23,6 +23,7 @@ from lumbung.session import cut
 
 RARE = 0.001
 DIGITS = 10
+BROADCAST_CHARS = 8_000_000
 NUMERIC = {"tinyint", "smallint", "int", "bigint", "float", "double", "decimal"}
 
 
@@ -63,14 +64,18 @@ class Format:
 def malformed(rows: DataFrame, column: str, fmt: Format) -> DataFrame:
     """Rows whose non-null value breaks the format.
 
-    The column's masks are mined and each mask gets its verdict once. Dominant masks (more than a hundredth of the values, so at
-    most a hundred) go to the rows, which stay where they are; only rows of rarer masks meet their verdicts in a shuffle. The exact
-    pattern sees only values of masks without a verdict. Repeated rows stay repeated; an empty table has no masks.
+    The column's masks are mined and each mask gets its verdict once. The masks go to the rows where their measured size is at
+    most BROADCAST_CHARS; else only dominant masks (more than a hundredth of the values, so at most a hundred) do, and rows
+    of rarer masks meet their verdicts in a shuffle. The exact pattern sees only values of masks without a verdict. Repeated rows
+    stay repeated; an empty table has no masks.
     """
     shaped = rows.where(F.col(column).isNotNull()).withColumn("__mask", mask(F.col(column)))
     mined = cut(shaped.groupBy("__mask").count())
     verdicts = mined.select("__mask", fmt.verdict(F.col("__mask")).alias("__verdict"))
-    judged = lookup(shaped, verdicts, "__mask", hot_keys(mined, "__mask"))
+    if (mined.agg(F.sum(F.length("__mask") + 16)).first()[0] or 0) <= BROADCAST_CHARS:
+        judged = shaped.join(F.broadcast(verdicts), "__mask")
+    else:
+        judged = lookup(shaped, verdicts, "__mask", hot_keys(mined, "__mask"))
     return judged.where(fmt.broken(F.col("__verdict"), F.col(column))).select(*[F.col(f"`{c}`") for c in rows.columns])
 
 

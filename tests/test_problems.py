@@ -102,7 +102,9 @@ def test_several_filters_give_the_same(spark, monkeypatch):
     assert 1000 <= passed < 1200
 
 
-def test_mined_verdicts_equal_a_look_at_each_value(spark):
+@pytest.mark.parametrize("most", [8_000_000, 0])
+def test_mined_verdicts_equal_a_look_at_each_value(spark, monkeypatch, most):
+    monkeypatch.setattr(profile, "BROADCAST_CHARS", most)
     from lumbung.plans.problems import DOI, TITLE
 
     rows = spark.read.parquet("/root/testdata/sf0.01/silver_penelitian.parquet").select("id", "judul_proposal")
