@@ -50,6 +50,7 @@ _HARD = re.compile(r"[;|\r\n\t]|(?:(?<=\s)|(?<=[)\]]))(?=\d{1,3}[.)]\s+\D)|(?:(?
 _SOFT = re.compile(r",?\s+(dan|serta|and)\s+|\s([/&])\s|(,)")
 _GROUP = re.compile(r"[\[(][^\[\]()]*[\])]")
 _SPACE = re.compile(r"\s+")
+_NO_DIGIT = re.compile(r"\D")
 
 
 @dataclass
@@ -62,7 +63,7 @@ class Atom:
 
 
 def _spaces(text: str) -> str:
-    return _SPACE.sub(" ", text).strip()
+    return " ".join(text.split())
 
 
 def _quoted(text: str, at: int) -> tuple[str, int]:
@@ -109,7 +110,7 @@ def _number(text: str) -> tuple[str, str | None, bool]:
     """Name, number and whether the number came first."""
     if closer := _CLOSER.search(text):
         number = next((g for g in closer.groups() if g is not None), "")
-        return text[: closer.start()], re.sub(r"\D", "", number), False
+        return text[: closer.start()], _NO_DIGIT.sub("", number), False
     if opener := _OPENER.match(text):
         return text[opener.end() :], opener[1], True
     return text, None, False
@@ -147,7 +148,8 @@ def scan(text: str | None) -> list[Atom]:
         for by, part in _soft(piece):
             name, number, opened = _number(part)
             name = _spaces(_BULLET.sub("", name) if first or by != "," else name).strip(" ,;:|/")
-            name = re.sub(r"\s+[-–]$", "", name)
+            if name[-1:] in ("-", "–") and name[-2:-1].isspace():
+                name = name[:-1].rstrip()
             if name.lower() in NULLS and not number:
                 if name == "" and number == "" and out and out[-1].number is None and not first:
                     out[-1].number = ""
