@@ -124,3 +124,28 @@ def test_transform_commutes_with_union_and_repair_is_idempotent(spark, store):
     once = repair.unswap(rows, s)
     assert sorted(map(str, once.collect())) == sorted(map(str, repair.unswap(once, s).collect())) and once.count() == rows.count()
     assert gold.dim_person(rows.limit(0)).count() == 0
+
+
+def test_statements_of_a_script(spark):
+    from lumbung.plans import pipeline
+
+    script = """-- a; b
+    SELECT 'x;y', "p;q" ; /* c; d */ SELECT `a;b`, 'it''s; fine' - 1 / 2 ;; SELECT 'back\\'; slash'  ;  """
+    assert pipeline.statements(script) == ["""SELECT 'x;y', "p;q\"""", "SELECT `a;b`, 'it''s; fine' - 1 / 2", "SELECT 'back\\'; slash'"]
+    assert pipeline.statements("") == pipeline.statements(" ; -- x") == []
+    assert pipeline.run_script(spark, "") is None
+    assert pipeline.run_script(spark, "SELECT 1 AS a; SELECT 2 AS b").collect()[0].b == 2
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark):
+    from types import SimpleNamespace
+
+    from lumbung import session
+
+    def fake(master, folder):
+        conf = SimpleNamespace(get=lambda key, other=None: folder if key == "spark.checkpoint.dir" and folder else other)
+        return SimpleNamespace(sparkContext=SimpleNamespace(master=master, getConf=lambda: conf))
+
+    assert session.shared_folder(fake("spark://x:7077", "/shared")) == "/shared" and session.shared_folder(fake("local[2]", None)) is None
+    with pytest.raises(RuntimeError):
+        session.shared_folder(fake("spark://x:7077", None))
