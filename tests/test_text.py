@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from lumbung.functions import keys, names, text
 
 CASES = [
-    (text.null_sentinel, [(" NaN ", None), ("Tidak Ada", None), ("-", None), ("", None), (" x ", " x "), (None, None)]),
+    (text.null_sentinel, [(" NaN ", None), ("Tidak Ada", None), ("-", None), ("", None), (" x ", " x "), (None, None),
+        ("\u00a0NaT\u2003\n", None), ("nan.", "nan."), ("- -", "- -"), (" " * 50_000 + "x", " " * 50_000 + "x"), (" " * 50_000, None)]),
     (text.people_ids, [("Budi Santoso (198501), Ani (), Cici (abc)", ["198501", "0"]), ("Budi", None), ("(1), Ani (2)", ["1", "2"]), ("(abc (12)", None), ("A (x) (5)", ["5"]), (None, None), ("-", None)]),
     (text.people_names, [
         ("Budi Santoso (198501), Ani (), Cici (abc)", ["Budi Santoso.", "Ani."]), ("dr. BUDI, M.Si", ["Dr. Budi, M.si."]), ("(1), Ani (2)", ["Ani."]),
